@@ -40,10 +40,8 @@ def transform(
         write_transformed(flat_from_raw(spark, raw, name, multiline), silver, name)
 
 
-def tables(spark: SparkSession, silver: str) -> Tables:
-    return Tables(*[
-        read_transformed(spark, silver, name, flat_schema(spark, name)) for name in Tables._fields
-    ])
+def tables_of(spark: SparkSession, silver: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    return {name: read_transformed(spark, silver, name, flat_schema(spark, name)) for name in names}
 
 
 def run_all(
@@ -57,6 +55,6 @@ def run_all(
 ) -> None:
     """The whole daily run. ``curated`` and ``sink`` go to ``write_curated``."""
     transform(spark, raw, silver, multiline=multiline)
-    flat_tables = tables(spark, silver)
+    flat_tables = Tables(**tables_of(spark, silver, Tables._fields))
     for name in names:
         write_curated(REPORTS[name](flat_tables), name, curated, **sink)
