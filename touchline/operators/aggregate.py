@@ -45,17 +45,25 @@ def sum_through(
     key: str,
     own: Sequence[str],
     theirs: Sequence[str],
+    fold: bool = True,
     **sums: Column,
 ) -> DataFrame:
     """Sums by columns of ``facts`` (``own``) and of the dimension joined on ``key`` (``theirs``).
 
-    Facts are summed by (key, own) before the join and summed again after it. The join then moves
-    one row per group, not one per fact, and a key that holds a third of the facts has already been
-    folded up by the tasks that read them.
+    ``fold`` sums the facts by (key, own) before the join, and again after it. The join then moves
+    one row per group, not one per fact, and a key that holds a third of the facts has been folded up
+    by the tasks that read them. Without ``own`` columns this costs no shuffle beyond the join's.
+
+    ``fold=False`` is for groups so fine that folding would hardly shrink them, and would shuffle them
+    once more. Only the summed columns move then, once; the dimension has one row per key, so the
+    adaptive join can split a hot key's facts.
     """
-    partial = facts.groupBy(key, *own).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
-    joined = partial.join(dimension.select(key, *theirs), key)
-    return joined.groupBy(*own, *theirs).agg(*[F.sum(name).alias(name) for name in sums])
+    names = list(sums)
+    rows = facts.select(key, *own, *[value.alias(name) for name, value in sums.items()])
+    if fold:
+        rows = rows.groupBy(key, *own).agg(*[F.sum(name).alias(name) for name in names])
+    joined = rows.join(dimension.select(key, *theirs), key)
+    return joined.groupBy(*own, *theirs).agg(*[F.sum(name).alias(name) for name in names])
 
 
 def diff_from_mean(

@@ -32,6 +32,14 @@ def split(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFram
     return pin(ranges.withColumn(CHUNK, F.spark_partition_id()))
 
 
+def undivided(rows: DataFrame) -> bool:
+    """Whether ``split`` left a single chunk, its rows being fewer than fill one partition.
+
+    Read off the pinned copy's partitions, without a job. Plain windows over whole groups do then.
+    """
+    return rows.rdd.getNumPartitions() == 1
+
+
 def spanning(per_chunk: DataFrame, by: Sequence[str]) -> DataFrame:
     """Of one row per (group, chunk), those of groups with more than one chunk."""
     chunks = F.count(F.lit(1)).over(Window.partitionBy(*by))

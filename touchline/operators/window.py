@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions.rates import change, share
-from touchline.operators.ordered import CHUNK, attach, spanning, split
+from touchline.operators.ordered import CHUNK, attach, spanning, split, undivided
 
 _AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count}
+_RANKS = {"rank": F.rank, "dense": F.dense_rank, "percent": F.percent_rank}
 
 
 def running(
@@ -30,6 +31,9 @@ def running(
         raise ValueError(f"cannot run {fn!r} over {value!r}")
     operand = F.lit(1) if value is None else F.col(value)
     rows = split(df, by, [F.col(c).asc() for c in order])
+    if undivided(rows):
+        frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding if n is None else 1 - n, 0)
+        return rows.withColumn(name, _AGGREGATES[fn](operand).over(frame)).drop(CHUNK)
     if n is None:
         return _running_from_start(rows, by, order, operand, fn, name)
     return _running_last(rows, by, order, _AGGREGATES[fn](operand), n, name)
@@ -101,12 +105,16 @@ def ranked(
     Equal values rank equal. The ``tie`` columns tell the rows of a group apart; they only spread
     rows with one common value over several chunks. ``top`` keeps ranks up to that number.
     """
-    if kind not in ("rank", "dense", "percent"):
+    if kind not in _RANKS:
         raise ValueError(f"unknown kind of rank: {kind!r}")
     if top is not None and kind == "percent":
         raise ValueError("top needs a rank that counts")
     sense = F.col(value).asc() if ascending else F.col(value).desc()
     rows = split(df, by, [sense, *[F.col(c).asc() for c in tie]])
+    if undivided(rows):
+        place = _RANKS[kind]().over(Window.partitionBy(*by).orderBy(sense))
+        whole = rows.drop(CHUNK).withColumn(name, place if kind == "percent" else place.cast("long"))
+        return whole if top is None else whole.where(F.col(name) <= top)
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(sense)
     local = F.dense_rank() if kind == "dense" else F.rank()
     ranks = rows.withColumn("_local", local.over(in_chunk))

@@ -80,7 +80,14 @@ def xg_rank(
     shots = events.where(_kind("Shot") & F.col("shot.statsbomb_xg").isNotNull())
     named = with_competition(matches, competitions, ["competition_name"])
     sums = sum_through(
-        shots, named, "match_id", [player], ["competition_name"], xg=F.col("shot.statsbomb_xg"), shots=F.lit(1)
+        shots,
+        named,
+        "match_id",
+        [player],
+        ["competition_name"],
+        fold=False,
+        xg=F.col("shot.statsbomb_xg"),
+        shots=F.lit(1),
     )
     means = sums.select(
         player, "competition_name", share(F.col("xg"), F.col("shots"), digits).alias("avg_xg")
@@ -95,7 +102,7 @@ def dribbles_vs_previous(
 ) -> DataFrame:
     """Completed dribbles by player and season, next to the player's previous season."""
     done = events.where(_kind("Dribble") & _result("dribble", "Complete"))
-    counts = sum_through(done, matches, "match_id", [player], [season], dribbles=F.lit(1))
+    counts = sum_through(done, matches, "match_id", [player], [season], fold=False, dribbles=F.lit(1))
     return lagged(counts, [player], [season], "dribbles", "prev_season_dribbles").select(
         player, season, "dribbles", "prev_season_dribbles"
     )
@@ -138,6 +145,7 @@ def conversion_by_position(
         "match_id",
         ["position_name"],
         ["league"],
+        fold=False,
         shots=F.lit(1),
         goals=flag(_result("shot", "Goal")),
     )

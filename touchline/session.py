@@ -16,7 +16,10 @@ DEFAULTS = {
     # The built-in broadcast choice stays on, so a join side is broadcast only when it is small.
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # Window state lives in RocksDB, off the executor heap; the changelog keeps commits small.
+}
+
+# For streams with more open windows than the executors' heap holds: build(app, **LARGE_STATE).
+LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -8,12 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from touchline.sources.stream import read_stream
+
 # The years a season may have.
 SEASONS = (1900, 2100)
 
+# The tables' columns. Stating them saves a job per read, which would look them up.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def matches(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,8 +113,7 @@ def click_days(spark: SparkSession, folder: str) -> DataFrame:
 
 def live(spark: SparkSession, folder: str) -> DataFrame:
     """Web events as a stream of scores: ``value`` at home, ``k`` away."""
-    schema = table(spark, folder, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    stream = read_stream(spark, "parquet", folder, COLUMNS["events"], pathGlobFilter="events.parquet")
     return stream.withColumns({
         "timestamp": F.col("ts").cast("timestamp"),
         "k": F.get_json_object("props", "$.k").try_cast("int"),

@@ -10,7 +10,7 @@ def read_stream(
     spark: SparkSession,
     fmt: str,
     path: str | None = None,
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     **options: str,
 ) -> DataFrame:
     """A stream of any format on the class path.
