@@ -5,9 +5,9 @@ would make that task the whole job. Here the rows are range-partitioned by (grou
 and the number of the range is kept as a chunk. A large group spreads over many chunks, a small one
 sits within one, and the window functions run by (group, chunk).
 
-What crosses a chunk border is mended from a summary. Chunks are contiguous, so each has at most two
-groups that reach beyond it (its first and its last). The summary of those groups therefore has at
-most two rows per chunk, whatever the data looks like, and may be broadcast.
+What crosses a chunk border is mended apart. Chunks are contiguous, so each has at most two groups
+that reach beyond it, its first and its last. Whatever the data looks like, a table of those groups
+has at most two rows per chunk, and may be broadcast.
 """
 
 from __future__ import annotations
@@ -40,17 +40,32 @@ def undivided(rows: DataFrame) -> bool:
     return rows.rdd.getNumPartitions() == 1
 
 
-def spanning(per_chunk: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Of one row per (group, chunk), those of groups with more than one chunk."""
-    chunks = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    return per_chunk.withColumn("_chunks", chunks).where("_chunks > 1").drop("_chunks")
+def spanning(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The (group, chunk) pairs of groups with rows in more than one chunk.
+
+    Found from the first and last group of each chunk. The windows have no partition, but they see
+    one row per chunk.
+    """
+    group = F.struct(*by)
+    chunks = rows.groupBy(CHUNK).agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+    order = Window.orderBy(CHUNK)
+    came_in = F.col("_first") == F.lag("_last").over(order)
+    goes_on = F.col("_last") == F.lead("_first").over(order)
+    ends = F.array_compact(
+        F.array(F.when(F.col("_came_in"), F.col("_first")), F.when(F.col("_goes_on"), F.col("_last")))
+    )
+    return (
+        chunks.withColumns({"_came_in": came_in, "_goes_on": goes_on})
+        .select(CHUNK, F.explode(F.array_distinct(ends)).alias("_group"))
+        .select(CHUNK, "_group.*")
+    )
 
 
-def attach(rows: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join of the spanning groups' summary; NULL groups match each other."""
+def attach(rows: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join what is known of the spanning groups, by (group, chunk). NULL groups match each other."""
     keys = [*by, CHUNK]
     right = summary.withColumnsRenamed({c: f"_r_{c}" for c in keys})
     same = reduce(
         lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
     )
-    return rows.join(F.broadcast(right), same, "left").drop(*[f"_r_{c}" for c in keys])
+    return rows.join(F.broadcast(right), same, how).drop(*[f"_r_{c}" for c in keys])

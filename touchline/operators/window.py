@@ -42,28 +42,24 @@ def running(
 def _running_last(
     rows: DataFrame, by: Sequence[str], order: Sequence[str], aggregate: Column, n: int, name: str
 ) -> DataFrame:
+    spans = spanning(rows, by)
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    size = F.count(F.lit(1)).over(Window.partitionBy(*by, CHUNK))
-    marks = spanning(rows.select(*by, CHUNK).distinct(), by).withColumn("_spans", F.lit(True))
-    seen = attach(
-        rows.withColumn(name, aggregate.over(in_chunk.rowsBetween(1 - n, 0)))
-        .withColumn("_from_start", F.row_number().over(in_chunk))
-        .withColumn("_to_end", size - F.col("_from_start")),
-        marks,
-        by,
-    )
+    at_head = F.lag(F.lit(1), n - 1).over(in_chunk).isNull()
+    at_tail = F.lead(F.lit(1), n - 1).over(in_chunk).isNull()
+    seen = rows.withColumn(name, aggregate.over(in_chunk.rowsBetween(1 - n, 0))).withColumn("_head", at_head)
+    settled = attach(seen, spans.withColumn("_spans", F.lit(True)), by).where("_spans IS NULL OR NOT _head")
     # Where a group goes on from chunk to chunk, its first n-1 rows of a chunk look back over the
-    # border. The rows they can see are the first and last n-1 of each chunk, at most 2(n-1) per
-    # chunk, and these are adjacent in the sequence of border rows too.
-    head = F.col("_spans").isNotNull() & (F.col("_from_start") < n)
-    tail = F.col("_spans").isNotNull() & (F.col("_to_end") < n - 1)
-    across = Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - n, 0)
-    mended = seen.where(head | tail).withColumn(name, aggregate.over(across)).where(head)
-    return (
-        seen.where(~head)
-        .unionByName(mended)
-        .drop(CHUNK, "_from_start", "_to_end", "_spans")
+    # border. What they can see are the first and last n-1 rows of each chunk, which are adjacent in
+    # the sequence of border rows too. Those are at most 4(n-1) per chunk.
+    border = (
+        attach(rows, spans, by, "inner")
+        .withColumn("_head", at_head)
+        .withColumn("_tail", at_tail)
+        .where("_head OR _tail")
     )
+    across = Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - n, 0)
+    mended = border.withColumn(name, aggregate.over(across)).where("_head")
+    return settled.drop("_spans").unionByName(mended.drop("_tail")).drop(CHUNK, "_head")
 
 
 def _running_from_start(
@@ -71,8 +67,12 @@ def _running_from_start(
 ) -> DataFrame:
     so_far = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*by, CHUNK).agg(F.sum(operand).alias("_sum"), F.count(operand).alias("_n"))
-    carried = spanning(totals, by).select(
+    totals = (
+        attach(rows, spanning(rows, by), by, "inner")
+        .groupBy(*by, CHUNK)
+        .agg(F.sum(operand).alias("_sum"), F.count(operand).alias("_n"))
+    )
+    carried = totals.select(
         *by,
         CHUNK,
         F.sum("_sum").over(earlier).alias("_sum_before"),
@@ -147,7 +147,11 @@ def _carried_ranks(rows: DataFrame, by: Sequence[str], value: str, ascending: bo
     """What the earlier chunks of a group add to the ranks in each of its chunks."""
     # A struct orders and equals as the sort does: NULL is the smallest value and equals itself.
     level = F.struct(F.col(value).alias("value"))
-    per_value = rows.groupBy(*by, CHUNK, value).agg(F.count(F.lit(1)).alias("_n"))
+    per_value = (
+        attach(rows, spanning(rows, by), by, "inner")
+        .groupBy(*by, CHUNK, value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     low, high = F.min(level), F.max(level)
     first, last = (low, high) if ascending else (high, low)
     last_run = (F.max_by if ascending else F.min_by)(F.col("_n"), level)
@@ -164,8 +168,7 @@ def _carried_ranks(rows: DataFrame, by: Sequence[str], value: str, ascending: bo
     up_to = ordered.rowsBetween(Window.unboundedPreceding, 0)
     run = Window.partitionBy(*by, "_last").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        spanning(per_chunk, by)
-        .withColumn("_run", F.sum("_last_run").over(run))
+        per_chunk.withColumn("_run", F.sum("_last_run").over(run))
         .withColumn("_goes_on", F.coalesce(F.lag("_last").over(ordered) == F.col("_first"), F.lit(False)))
         .select(
             *by,

@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # The built-in broadcast choice stays on, so a join side is broadcast only when it is small.
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
