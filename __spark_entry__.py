@@ -42,11 +42,12 @@ def _utc(spark: SparkSession) -> SparkSession:
 
 
 def _top_scorers(spark, d):
-    return jobs.top_scorers(star.clicks(spark, d))
+    return jobs.top_scorers(star.clicks(spark, d, "purchase"))
 
 
 def _pass_completion(spark, d, n=5):
-    out = jobs.pass_completion(star.events(spark, d, "Pass"), star.matches(spark, d), n=n)
+    passes = star.events(spark, d, "Pass", only=star.OPEN)
+    out = jobs.pass_completion(passes, star.matches(spark, d, placed=False), n=n)
     return _plain(out, "completion_rate", "running_avg_completion")
 
 
@@ -56,13 +57,13 @@ def _xg_rank(spark, d, top=None):
 
 
 def _dribbles(spark, d):
-    return jobs.dribbles_vs_previous(
-        star.events(spark, d, "Dribble"), star.matches(spark, d), player="team_name"
-    )
+    dribbles = star.events(spark, d, "Dribble", only=star.RETURNED)
+    return jobs.dribbles_vs_previous(dribbles, star.matches(spark, d, placed=False), player="team_name")
 
 
 def _assists(spark, d, **kw):
-    return _plain(jobs.assist_pairs(star.clicks(spark, d), star.click_days(spark, d), **kw))
+    events = star.clicks(spark, d, "click", "purchase")
+    return _plain(jobs.assist_pairs(events, star.click_days(spark, d), **kw))
 
 
 def _conversion(spark, d, **kw):
@@ -72,7 +73,7 @@ def _conversion(spark, d, **kw):
 
 
 def _counterpress(spark, d):
-    out = jobs.counterpress(star.events(spark, d, "Pressure"), star.matches(spark, d))
+    out = jobs.counterpress(star.events(spark, d, "Pressure"), star.matches(spark, d, placed=False))
     return _plain(out, "rolling_avg_counterpress")
 
 
@@ -82,12 +83,14 @@ def _duration(spark, d):
 
 
 def _cross_rank(spark, d, top=None):
-    out = jobs.cross_rank(star.events(spark, d, "Pass"), star.matches(spark, d), top=top)
+    crosses = star.events(spark, d, "Pass", only=star.OPEN)
+    out = jobs.cross_rank(crosses, star.matches(spark, d, placed=False), top=top)
     return _plain(out, "cross_completion")
 
 
 def _goals_growth(spark, d):
-    out = jobs.goals_growth(star.events(spark, d, "Shot"), star.matches(spark, d), star.competitions(spark, d))
+    goals = star.events(spark, d, "Shot", only=star.RETURNED)
+    out = jobs.goals_growth(goals, star.matches(spark, d), star.competitions(spark, d))
     return _plain(out, "yoy_growth")
 
 
@@ -224,7 +227,7 @@ def _json_lineups(spark, d):
 
 def _json_events(spark, d):
     """Web events as raw event records, written as JSON lines, read back and flattened."""
-    root = scratch(spark, "json-events")
+    root = scratch(_utc(spark), "json-events")
     star.table(spark, d, "events").select(
         F.unix_date(F.to_date("ts")).cast("long").alias("match_id"),
         F.col("event_id").cast("string").alias("id"),
@@ -259,7 +262,7 @@ def _parse_scores(spark, d):
 
 
 def _adhoc_sql(spark, d):
-    register_views(events=star.events(spark, d, "Pass"), matches=star.matches(spark, d))
+    register_views(events=star.events(spark, d, "Pass", only=star.OPEN), matches=star.matches(spark, d))
     return spark.sql("""
         SELECT m.season_id, m.competition_id, count(*) AS passes,
                count_if(e.pass.outcome.name IS NULL) AS completed

@@ -33,14 +33,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def matches(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer, nation = (table(spark, folder, t) for t in ("orders", "customer", "nation"))
-    home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return orders.join(home, F.col("o_custkey") == F.col("c_custkey")).select(
+def matches(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
+    """Orders as matches; ``placed`` adds the competition, at the price of joining the customers."""
+    orders = table(spark, folder, "orders")
+    roles = [
         F.col("o_orderkey").alias("match_id"),
         F.to_date("o_orderdate").alias("match_date"),
         F.year("o_orderdate").cast("long").alias("season_id"),
-        F.col("n_regionkey").cast("long").alias("competition_id"),
+    ]
+    if not placed:
+        return orders.select(*roles)
+    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
+    home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return orders.join(home, F.col("o_custkey") == F.col("c_custkey")).select(
+        *roles, F.col("n_regionkey").cast("long").alias("competition_id")
     )
 
 
@@ -53,31 +59,41 @@ def competitions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, folder: str, kind: str, parts: bool = False) -> DataFrame:
+# Line items that are passes, and those that are goals or completed dribbles.
+OPEN = "l_linestatus = 'O'"
+RETURNED = "l_returnflag = 'R'"
+
+
+def events(
+    spark: SparkSession, folder: str, kind: str, parts: bool = False, only: str | None = None
+) -> DataFrame:
     """Line items as events of one ``kind``.
 
     A shot scores and a dribble succeeds when the item was returned (R). Passes are the open items
     (O), all of them crosses, completed when not yet returnable (N). Fulfilled items (F) counter-press.
-    ``parts`` adds player and position, at the price of a join.
+    ``parts`` adds player and position, at the price of a join. ``only`` says in the table's own
+    columns what the report will filter by, so that the Parquet scan can skip by it.
     """
     items = table(spark, folder, "lineitem")
+    if only is not None:
+        items = items.where(only)
     roles = {
         "match_id": F.col("l_orderkey"),
         "team_name": F.col("l_suppkey"),
-        "event_type_name": F.when(F.col("l_linestatus") == "O", "Pass") if kind == "Pass" else F.lit(kind),
+        "event_type_name": F.when(F.expr(OPEN), "Pass") if kind == "Pass" else F.lit(kind),
         "duration": F.col("l_quantity"),
         "counterpress": F.col("l_linestatus") == "F",
         "pass": F.struct(
             F.struct(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("name")).alias("outcome"),
-            (F.col("l_linestatus") == "O").alias("cross"),
+            F.expr(OPEN).alias("cross"),
         ),
         "shot": F.struct(
             F.col("l_discount").alias("statsbomb_xg"),
-            F.struct(F.when(F.col("l_returnflag") == "R", "Goal").otherwise("Saved").alias("name")).alias("outcome"),
+            F.struct(F.when(F.expr(RETURNED), "Goal").otherwise("Saved").alias("name")).alias("outcome"),
         ),
         "dribble": F.struct(
             F.struct(
-                F.when(F.col("l_returnflag") == "R", "Complete").otherwise("Incomplete").alias("name")
+                F.when(F.expr(RETURNED), "Complete").otherwise("Incomplete").alias("name")
             ).alias("outcome")
         ),
     }
@@ -87,13 +103,14 @@ def events(spark: SparkSession, folder: str, kind: str, parts: bool = False) ->
     return items.select(*[value.alias(name) for name, value in roles.items()])
 
 
-def clicks(spark: SparkSession, folder: str) -> DataFrame:
+def clicks(spark: SparkSession, folder: str, *kinds: str) -> DataFrame:
     """Web events: a click is an assist to the event its ``k`` names, a purchase is a goal.
 
-    A day is a match, a user a player.
+    A day is a match, a user a player. ``kinds`` limits the types of event that are read.
     """
     kind = F.col("event_type")
-    return table(spark, folder, "events").select(
+    rows = table(spark, folder, "events")
+    return (rows.where(kind.isin(*kinds)) if kinds else rows).select(
         F.unix_date(F.to_date("ts")).alias("match_id"),
         F.to_date("ts").alias("match_date"),
         "event_id",
@@ -108,7 +125,8 @@ def clicks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def click_days(spark: SparkSession, folder: str) -> DataFrame:
-    return clicks(spark, folder).select("match_id", "match_date").distinct()
+    """The days with clicks."""
+    return clicks(spark, folder, "click").select("match_id", "match_date").distinct()
 
 
 def live(spark: SparkSession, folder: str) -> DataFrame:
