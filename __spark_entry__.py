@@ -188,11 +188,15 @@ def _json_matches(spark, d):
 
 
 def _flatten_competitions(spark, d):
-    raw = star.competitions(spark, d).select(
-        "*",
-        F.lit("open").alias("competition_gender"),
-        F.col("competition_name").alias("country_name"),
-        F.col("season_id").cast("string").alias("season_name"),
+    """Customers as competition records, with a field too many."""
+    raw = star.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("competition_id"),
+        F.col("c_nationkey").cast("long").alias("season_id"),
+        F.col("c_name").alias("competition_name"),
+        F.col("c_mktsegment").alias("competition_gender"),
+        F.lit("somewhere").alias("country_name"),
+        F.col("c_nationkey").cast("string").alias("season_name"),
+        F.col("c_acctbal").alias("balance"),
     )
     return flat.competitions(raw)
 
@@ -562,11 +566,11 @@ _ORACLE: dict[str, str] = {
         SELECT event_id, user_id, event_type, value, c_custkey, c_name, c_nationkey, c_mktsegment
         FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'
     """,
-    "p1_flatten_competitions": f"""
-        SELECT CAST(r_regionkey AS BIGINT) AS competition_id, CAST(y AS BIGINT) AS season_id,
-               r_name AS competition_name, 'open' AS competition_gender, r_name AS country_name,
-               CAST(y AS VARCHAR) AS season_name
-        FROM region, range({star.SEASONS[0]}, {star.SEASONS[1] + 1}) AS years (y)
+    "p1_flatten_competitions": """
+        SELECT c_custkey AS competition_id, CAST(c_nationkey AS BIGINT) AS season_id,
+               c_name AS competition_name, c_mktsegment AS competition_gender, 'somewhere' AS country_name,
+               CAST(c_nationkey AS VARCHAR) AS season_name
+        FROM customer
     """,
     "p2_flatten": _MATCH_SQL,
     "p3_explode": _PLAYERS,

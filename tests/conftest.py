@@ -24,13 +24,16 @@ def spark():
 
 
 @pytest.fixture
-def many_chunks(spark):
-    """Keep every range partition, so that small groups are cut as large ones would be."""
+def many_chunks(spark, monkeypatch):
+    """Keep every range partition and call groups beyond 50 rows large, so that they are cut."""
+    from touchline.operators import ordered
+
     before = {k: spark.conf.get(k) for k in (
         "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions",
     )}
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "7")
+    monkeypatch.setattr(ordered, "GROUP_LIMIT", 50)
     yield
     for key, value in before.items():
         spark.conf.set(key, value)

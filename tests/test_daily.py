@@ -92,3 +92,17 @@ def test_pinned_rows_outlive_their_source(spark, tmp_path):
         file.unlink()
     assert pinned.count() == 5
     assert session.scratch(spark, "x") != session.scratch(spark, "x")
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master, applicationId = "spark://host", "app"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session)
+    Session.sparkContext.master = "local[2]"
+    assert session.shared_dir(Session) == session.shared_dir(Session)

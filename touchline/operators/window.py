@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions.rates import change, share
-from touchline.operators.ordered import CHUNK, attach, spanning, split, undivided
+from touchline.operators.ordered import CHUNK, attach, by_size, spanning, split
 
 _AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count}
 _RANKS = {"rank": F.rank, "dense": F.dense_rank, "percent": F.percent_rank}
@@ -30,13 +30,17 @@ def running(
     if fn not in _AGGREGATES or (value is None and fn != "count"):
         raise ValueError(f"cannot run {fn!r} over {value!r}")
     operand = F.lit(1) if value is None else F.col(value)
-    rows = split(df, by, [F.col(c).asc() for c in order])
-    if undivided(rows):
-        frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding if n is None else 1 - n, 0)
-        return rows.withColumn(name, _AGGREGATES[fn](operand).over(frame)).drop(CHUNK)
-    if n is None:
-        return _running_from_start(rows, by, order, operand, fn, name)
-    return _running_last(rows, by, order, _AGGREGATES[fn](operand), n, name)
+    aggregate = _AGGREGATES[fn](operand)
+    start = Window.unboundedPreceding if n is None else 1 - n
+    frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(start, 0)
+
+    def chunked(large: DataFrame) -> DataFrame:
+        rows = split(large, by, [F.col(c).asc() for c in order])
+        if n is None:
+            return _running_from_start(rows, by, order, operand, fn, name)
+        return _running_last(rows, by, order, aggregate, n, name)
+
+    return by_size(df, by, lambda rows: rows.withColumn(name, aggregate.over(frame)), chunked)
 
 
 def _running_last(
@@ -110,11 +114,22 @@ def ranked(
     if top is not None and kind == "percent":
         raise ValueError("top needs a rank that counts")
     sense = F.col(value).asc() if ascending else F.col(value).desc()
-    rows = split(df, by, [sense, *[F.col(c).asc() for c in tie]])
-    if undivided(rows):
-        place = _RANKS[kind]().over(Window.partitionBy(*by).orderBy(sense))
-        whole = rows.drop(CHUNK).withColumn(name, place if kind == "percent" else place.cast("long"))
-        return whole if top is None else whole.where(F.col(name) <= top)
+    place = _RANKS[kind]().over(Window.partitionBy(*by).orderBy(sense))
+    ranks = by_size(
+        df,
+        by,
+        lambda rows: rows.withColumn(name, place if kind == "percent" else place.cast("long")),
+        lambda large: _ranked_chunks(
+            split(large, by, [sense, *[F.col(c).asc() for c in tie]]), by, value, kind, ascending, name, top
+        ),
+    )
+    return ranks if top is None else ranks.where(F.col(name) <= top)
+
+
+def _ranked_chunks(
+    rows: DataFrame, by: Sequence[str], value: str, kind: str, ascending: bool, name: str, top: int | None
+) -> DataFrame:
+    sense = F.col(value).asc() if ascending else F.col(value).desc()
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(sense)
     local = F.dense_rank() if kind == "dense" else F.rank()
     ranks = rows.withColumn("_local", local.over(in_chunk))
@@ -135,12 +150,9 @@ def ranked(
     if kind == "percent":
         total = F.coalesce("_total", "_size")
         result = F.coalesce(share(result - 1, total - 1), F.lit(0.0))
-    else:
-        result = result.cast("long")
-    out = seen.withColumn(name, result).drop(
+    return seen.withColumn(name, result.cast("double" if kind == "percent" else "long")).drop(
         CHUNK, "_local", "_size", "_rows_before", "_values_before", "_same_before", "_total"
     )
-    return out if top is None else out.where(F.col(name) <= top)
 
 
 def _carried_ranks(rows: DataFrame, by: Sequence[str], value: str, ascending: bool) -> DataFrame:

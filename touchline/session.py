@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # The built-in broadcast choice stays on, so a join side is broadcast only when it is small.
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.checkpoint.compress": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # For streams with more open windows than the executors' heap holds: build(app, **LARGE_STATE).
@@ -36,23 +35,35 @@ def build(app: str, **conf: str) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or a local one in local mode."""
-    sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is None:
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="touchline-")
-        sc.setCheckpointDir(folder)
-    return folder or sc.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = _local_dir(spark.sparkContext.applicationId)
+    return folder.rstrip("/")
+
+
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"touchline-{application}-")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path of its own below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/touchline/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in a folder of this application that goes when it ends."""
+    home = f"{shared_dir(spark)}/touchline/{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(home)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once; later uses read that copy, also after a lost executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder once; later uses read that copy, also after a lost executor.
+
+    It is Parquet, so a use that needs two columns reads two, and joins know its true size.
+    """
+    path = scratch(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
