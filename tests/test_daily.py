@@ -5,6 +5,7 @@ from conftest import rows
 from football import competition, dribble, event, match, passed, shot
 
 from touchline import session
+from touchline.__main__ import main
 from touchline.plans import daily, jobs
 from touchline.sinks import read_curated, read_transformed, write_curated, write_transformed
 from touchline.sources import register_views
@@ -38,6 +39,19 @@ def test_daily_run_from_json_to_curated(spark, raw, tmp_path):
         assert stored.count() > 0, name
 
 
+def test_command_line(spark, raw, tmp_path):
+    main(["daily", "--raw", raw, "--silver", f"{raw}/s", "--out", f"{raw}/c", "--report", "goals_yoy_growth"])
+    assert rows(read_curated(spark, "goals_yoy_growth", f"{raw}/c"), "goals") == [(1,), (1,)]
+
+    payload = '{"match_id":"m","home_team":"Reds","home_score":5,"away_score":1,"timestamp":"2024-01-01T%s:00Z"}'
+    (tmp_path / "feed").mkdir()
+    (tmp_path / "feed" / "1.txt").write_text(f"{payload % '10:00'}\n{payload % '12:00'}")
+    spark.createDataFrame([("Reds", "Chile")], "team_name string, country string").write.parquet(f"{raw}/teams")
+    main(["live", "--source", "text", "--source-option", f"path={raw}/feed", "--teams", f"{raw}/teams",
+          "--checkpoint", f"{raw}/state", "--out", f"{raw}/live", "--once"])
+    assert spark.read.parquet(f"{raw}/live/high_scoring_alerts").count() == 5
+
+
 def test_transformed_events_keep_every_row_and_prune(spark, raw):
     daily.transform(spark, raw, f"{raw}/silver", ["events"])
     events = daily.tables_of(spark, f"{raw}/silver", ["events"])["events"]
