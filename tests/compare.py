@@ -29,7 +29,7 @@ def _cell(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
+        return "nan" if math.isnan(value) else round(value, 12) + 0.0
     return value
 
 
