@@ -341,7 +341,7 @@ def _sums_by_segment(spark, d):
         orders, star.table(spark, d, "customer"), "c_custkey", ["o_orderstatus"], ["c_mktsegment"],
         orders=F.lit(1), price=F.col("o_totalprice"),
     )
-    return out.withColumn("price", F.round("price", 1))
+    return out.withColumn("price", F.round("price", 2))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -621,7 +621,7 @@ _ORACLE: dict[str, str] = {
         FROM means
     """,
     "a2_sums_by_segment": """
-        SELECT o_orderstatus, c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 1) AS price
+        SELECT o_orderstatus, c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 2) AS price
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
     """,
     "w3_dense_rank": _places_sql("dense_rank() OVER {}"),
