@@ -10,7 +10,7 @@ from touchline import functions as flat, schemas
 from touchline.sinks import start_append
 from touchline.sources import read_stream
 from touchline.streaming import (
-    attach_player, await_all, enrich, high_scoring, one_per_key, run_all, start_all, team_form, tumbling_avg,
+    attach_player, await_all, enrich, high_scoring, one_per_key, run_all, team_form, tumbling_avg,
 )
 
 
@@ -156,12 +156,16 @@ def test_repeated_batch_changes_nothing(spark, feed, tmp_path):
     assert rows(out, "batch_id", F.date_format("timestamp", "HH:mm")) == [(0, "10:00"), (1, "10:01")]
 
 
-def test_all_three_collections(spark, feed, tmp_path):
+def test_all_three_collections_with_or_without_teams(spark, feed, tmp_path):
     feed(score("10:00", 4, 3), score("12:00"))
-    teams = spark.createDataFrame([("Reds", "Chile")], "team_name string, country string")
-    run_all(feed.stream(), teams, str(tmp_path / "state"), root=str(tmp_path / "sink"), available_now=True)
-    count = lambda name: spark.read.parquet(f"{tmp_path}/sink/{name}").count()
-    assert [count(n) for n in ("avg_goals_per_10min", "high_scoring_alerts", "team_form_30min")] == [1, 5, 6]
+    teams = spark.createDataFrame([("Reds", "Chile"), ("Reds", "Peru")], "team_name string, country string")
+    for name, static in (("with", teams), ("without", None)):
+        run_all(
+            feed.stream(), str(tmp_path / name / "state"), static, root=str(tmp_path / name), available_now=True
+        )
+    for name, count in (("avg_goals_per_10min", 1), ("high_scoring_alerts", 5), ("team_form_30min", 6)):
+        first, second = (rows(spark.read.parquet(f"{tmp_path}/{w}/{name}").drop("window")) for w in ("with", "without"))
+        assert first == second and len(first) == count
     assert spark.streams.active == []
 
 

@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     live = jobs.add_parser("live", help="a stream of score payloads into three collections")
     live.add_argument("--source", required=True, help="format of the stream, such as kafka")
     live.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE")
-    live.add_argument("--teams", required=True, help="Parquet with one row per team_name")
+    live.add_argument("--teams", help="Parquet of teams to enrich the scores with, by team_name")
     live.add_argument("--checkpoint", required=True)
     live.add_argument("--once", action="store_true", help="stop when all there is has been read")
 
@@ -49,9 +49,8 @@ def main(argv: list[str] | None = None) -> None:
         )
     else:
         payloads = read_stream(spark, args.source, **_options(args.source_option))
-        run_all(
-            payloads, read_teams(spark, args.teams), args.checkpoint, root=args.out, available_now=args.once, **sink
-        )
+        teams = read_teams(spark, args.teams) if args.teams else None
+        run_all(payloads, args.checkpoint, teams, root=args.out, available_now=args.once, **sink)
 
 
 if __name__ == "__main__":
