@@ -70,6 +70,15 @@ def split(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFram
     return pin(ranges.withColumn(CHUNK, F.spark_partition_id()))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Each chunk a partition of its own, as windows by (group, chunk) want it.
+
+    Left to hash, a few chunks would meet in one partition, and AQE would merge them further where
+    sorted values compress well.
+    """
+    return rows.repartitionById(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), CHUNK)
+
+
 def spanning(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     """The (group, chunk) pairs of groups with rows in more than one chunk.
 

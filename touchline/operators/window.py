@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions.rates import change, share
-from touchline.operators.ordered import CHUNK, attach, by_size, spanning, split
+from touchline.operators.ordered import CHUNK, attach, by_size, spanning, split, spread
 
 _AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count}
 _RANKS = {"rank": F.rank, "dense": F.dense_rank, "percent": F.percent_rank}
@@ -50,13 +50,14 @@ def _running_last(
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(*order)
     at_head = F.lag(F.lit(1), n - 1).over(in_chunk).isNull()
     at_tail = F.lead(F.lit(1), n - 1).over(in_chunk).isNull()
-    seen = rows.withColumn(name, aggregate.over(in_chunk.rowsBetween(1 - n, 0))).withColumn("_head", at_head)
+    windowed = aggregate.over(in_chunk.rowsBetween(1 - n, 0))
+    seen = spread(rows).withColumn(name, windowed).withColumn("_head", at_head)
     settled = attach(seen, spans.withColumn("_spans", F.lit(True)), by).where("_spans IS NULL OR NOT _head")
     # Where a group goes on from chunk to chunk, its first n-1 rows of a chunk look back over the
     # border. What they can see are the first and last n-1 rows of each chunk, which are adjacent in
     # the sequence of border rows too. Those are at most 4(n-1) per chunk.
     border = (
-        attach(rows, spans, by, "inner")
+        spread(attach(rows, spans, by, "inner"))
         .withColumn("_head", at_head)
         .withColumn("_tail", at_tail)
         .where("_head OR _tail")
@@ -83,7 +84,9 @@ def _running_from_start(
         F.sum("_n").over(earlier).alias("_n_before"),
     )
     seen = attach(
-        rows.withColumn("_sum", F.sum(operand).over(so_far)).withColumn("_n", F.count(operand).over(so_far)),
+        spread(rows)
+        .withColumn("_sum", F.sum(operand).over(so_far))
+        .withColumn("_n", F.count(operand).over(so_far)),
         carried,
         by,
     )
@@ -132,9 +135,9 @@ def _ranked_chunks(
     sense = F.col(value).asc() if ascending else F.col(value).desc()
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(sense)
     local = F.dense_rank() if kind == "dense" else F.rank()
-    ranks = rows.withColumn("_local", local.over(in_chunk))
+    ranks = spread(rows).withColumn("_local", local.over(in_chunk))
     if top is not None:
-        # Never larger than the full rank, so this drops nothing wanted, before the rows move.
+        # Never larger than the full rank, so this drops nothing wanted.
         ranks = ranks.where(F.col("_local") <= top)
     seen = attach(
         ranks.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(*by, CHUNK))),
