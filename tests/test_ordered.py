@@ -133,3 +133,9 @@ def test_wrong_arguments(spark):
         ranked(df, ["g"], "v", ["id"], "row")
     with pytest.raises(ValueError):
         ranked(df, ["g"], "v", ["id"], "percent", top=3)
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "g string, day int, id int, v double")
+    assert rows(running(df, ["g"], ["day", "id"], "v", "avg", 5, "r")) == []
+    assert rows(ranked(df.where("v > 1"), ["g"], "v", ["id"], name="r", top=2)) == []
