@@ -21,6 +21,14 @@ from touchline.sinks import (
 from touchline.sources import read_events, read_lineups, read_matches, read_teams, register_views, star
 from touchline.streaming import attach_player, enrich, high_scoring, team_form, tumbling_avg
 
+# The training-data queries are there when their subpackage and the pipeline are.
+try:
+    from touchline.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("touchline.llm", "corpus_pipeline"):
+        raise
+    _llm = None
+
 _DIGITS = 6
 # Means of xG are ranked as rounded. Prices in hundredths over a power of two (1.69 / 32) lie halfway
 # between two values of six digits, where the order of addition would decide; of twelve, they do not.
@@ -389,7 +397,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | (_llm.queries() if _llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -655,4 +663,4 @@ _ORACLE: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | (_llm.oracle_sql() if _llm else {})

@@ -16,7 +16,11 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+# The operators of the training-data subpackage have tests of their own.
+OWN = sorted(contract._QUERIES)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_sql(spark, db, name):
     assert difference(contract.queries()[name](spark, FOLDER), db, contract.oracle_sql()[name]) is None
 
@@ -32,4 +36,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert set(OWN) == contract._ORACLE.keys()
