@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import quality, toxicity
+from touchline.llm import language, quality, toxicity
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -15,6 +15,14 @@ def _remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def _op1(spark, d):
+    docs = _table(spark, d, "documents")
+    net = language.train(docs, learn=_remainder(4) != 2)
+    return language.with_language(docs.select("doc_id", "text"), net).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def _op5(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
     machine = quality.train(docs, _table(spark, d, "labels"), learn=_remainder(5) != 0)
@@ -39,6 +47,7 @@ def _op6(spark, d):
 
 def queries() -> dict:
     return {
+        "op1_language_network": _op1,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
     }
