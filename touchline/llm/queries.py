@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from touchline.llm import language, quality, toxicity
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    # Python workers find this package where the driver does, however the driver was started.
+    path = spark.sparkContext.environment
+    if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):
+        path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
