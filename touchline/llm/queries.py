@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, quality, toxicity
+from touchline.llm import language, quality, toxicity, urls
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -33,6 +33,48 @@ def _op1(spark, d):
     )
 
 
+RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+HOSTS = [
+    "ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net",
+    "free-bets.example.net", "spam-farm.example.org",
+]
+
+
+def _op3(spark, d):
+    rules = _values(spark, RULES, "host, path, verdict")
+    hosts = _values(spark, [(h,) for h in HOSTS], "host")
+    pages = _table(spark, d, "pages").select("page_id", "url")
+    return urls.judge(pages, rules, hosts).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _values(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    listed = ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS listed({names})")
+
+
+def _fits(host: str, path: str = "") -> str:
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}'))"
+
+
+_LONGEST_FIRST = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+_OP3 = f"""
+    WITH parts AS (
+        SELECT page_id,
+               coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+        FROM pages)
+    SELECT page_id, host, path,
+           CASE {' '.join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in _LONGEST_FIRST)} END AS rule,
+           CASE {' '.join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in _LONGEST_FIRST)}
+                WHEN {' OR '.join(map(_fits, HOSTS))} THEN 'block' ELSE 'allow' END AS verdict
+    FROM parts
+"""
+
+
 def _op5(spark, d):
     docs = _table(spark, d, "documents").select("doc_id", "text")
     machine = quality.train(docs, _table(spark, d, "labels"), learn=_remainder(5) != 0)
@@ -58,10 +100,11 @@ def _op6(spark, d):
 def queries() -> dict:
     return {
         "op1_language_network": _op1,
+        "op3_url_cascade": _op3,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_cascade": _OP3}
