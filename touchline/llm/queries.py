@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, quality, toxicity, urls
+from touchline.llm import language, mixing, quality, toxicity, urls
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -33,6 +33,10 @@ def _op1(spark, d):
     )
 
 
+def _op2(spark, d):
+    return mixing.mix(_table(spark, d, "documents").select("doc_id", "source"))
+
+
 RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -100,6 +104,7 @@ def _op6(spark, d):
 def queries() -> dict:
     return {
         "op1_language_network": _op1,
+        "op2_pfair_mix": _op2,
         "op3_url_cascade": _op3,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
