@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, mixing, quality, toxicity, urls
+from touchline.llm import language, mixing, pieces, quality, toxicity, urls
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -101,6 +101,14 @@ def _op6(spark, d):
     )
 
 
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def _op10(spark, d, model=MODEL):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    return pieces.with_ids(docs, pieces.load(model)).select("doc_id", "n_ids", "ids", "round_trip")
+
+
 def queries() -> dict:
     return {
         "op1_language_network": _op1,
@@ -108,6 +116,7 @@ def queries() -> dict:
         "op3_url_cascade": _op3,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
+        "op10_piece_ids": _op10,
     }
 
 
