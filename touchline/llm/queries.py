@@ -7,7 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, mixing, pieces, quality, toxicity, urls
+from touchline.llm import language, mixing, pieces, quality, toxicity, urls, warc
+from touchline.session import scratch
 
 
 _ROOT = str(Path(__file__).resolve().parents[2])
@@ -101,6 +102,27 @@ def _op6(spark, d):
     )
 
 
+def _op7(spark, d):
+    folder = scratch(spark, "warc")
+    warc.write(_table(spark, d, "pages").select("page_id", "url", "html"), folder)
+    return warc.resolve(warc.read(spark, folder)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+_OP7 = """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+               sha256(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+    FROM f
+"""
+
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -116,9 +138,13 @@ def queries() -> dict:
         "op3_url_cascade": _op3,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
+        "op7_warc_revisits": _op7,
         "op10_piece_ids": _op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_cascade": _OP3}
+    return {
+        "op3_url_cascade": _OP3,
+        "op7_warc_revisits": _OP7,
+    }
