@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, mixing, pieces, quality, toxicity, urls, warc
+from touchline.llm import language, mixing, pieces, quality, topk, toxicity, urls, warc
 from touchline.session import scratch
 
 
@@ -123,6 +123,23 @@ _OP7 = """
 """
 
 
+def _op8(spark, d):
+    return topk.top_k(_table(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+_OP8 = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+        FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -139,6 +156,7 @@ def queries() -> dict:
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
         "op7_warc_revisits": _op7,
+        "op8_no_random_access": _op8,
         "op10_piece_ids": _op10,
     }
 
@@ -147,4 +165,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_url_cascade": _OP3,
         "op7_warc_revisits": _OP7,
+        "op8_no_random_access": _OP8,
     }
