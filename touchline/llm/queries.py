@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, mixing, pieces, quality, topk, toxicity, urls, warc
+from touchline.llm import language, mixing, near_texts, pieces, quality, topk, toxicity, urls, warc
 from touchline.session import scratch
 
 
@@ -140,6 +140,10 @@ _OP8 = """
 """
 
 
+def _op9(spark, d):
+    return near_texts.near_duplicates(_table(spark, d, "documents"))
+
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -157,6 +161,7 @@ def queries() -> dict:
         "op6_toxicity_machine": _op6,
         "op7_warc_revisits": _op7,
         "op8_no_random_access": _op8,
+        "op9_forest_near_texts": _op9,
         "op10_piece_ids": _op10,
     }
 
