@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.llm import language, mixing, near_texts, pieces, quality, topk, toxicity, urls, warc
+from touchline.llm import language, mixing, near_texts, near_vectors, pieces, quality, topk, toxicity, urls, warc
 from touchline.session import scratch
 
 
@@ -38,6 +38,10 @@ def _op2(spark, d):
     return mixing.mix(_table(spark, d, "documents").select("doc_id", "source"))
 
 
+def _op4(spark, d):
+    return near_vectors.near_duplicates(_table(spark, d, "embeddings"))
+
+
 RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -157,6 +161,7 @@ def queries() -> dict:
         "op1_language_network": _op1,
         "op2_pfair_mix": _op2,
         "op3_url_cascade": _op3,
+        "op4_graph_near_vectors": _op4,
         "op5_quality_machine": _op5,
         "op6_toxicity_machine": _op6,
         "op7_warc_revisits": _op7,
