@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from touchline.llm.batches import add_columns
 
 BLANK = "▁"
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 18
 KNOWN_PAIRS = 1 << 20
 LONG_WORD = 64
 """Characters beyond which a word's ids are not remembered."""
@@ -164,19 +164,37 @@ class Encoder:
 
 
 class _Words(dict):
-    """A word's ids as packed 32-bit numbers, with or without the mark before it."""
+    """A word's ids as packed 32-bit numbers, with or without the mark before it.
 
-    def __init__(self, encoder: Encoder, mark: str):
-        self.encoder, self.mark = encoder, mark
+    Words seen lately are remembered: when ``KNOWN_WORDS`` are, they become the older half and those of
+    the half before go, but for words that are met again.
+    """
+
+    def __init__(self, encoder: Encoder, mark: str, bare: _Words | None = None):
+        self.encoder, self.mark, self.older = encoder, mark, {}
+        self.bare = self if bare is None else bare
 
     def __missing__(self, word: str) -> bytes:
-        packed = np.array(self.encoder.ids(self.mark + word), np.int32).tobytes()
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self._encode(word)
         if len(word) <= LONG_WORD:
             if len(self) >= KNOWN_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
 
+    def _encode(self, word: str) -> bytes:
+        # All paths share the boundary between two characters that no piece holds side by side, so what
+        # lies between such boundaries are words of their own.
+        longest = self.encoder.v.longest
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in longest]
+        if not cuts:
+            return np.array(self.encoder.ids(self.mark + word), np.int32).tobytes()
+        parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        return self[parts[0]] + b"".join(map(self.bare.__getitem__, parts[1:]))
+
 
 class Codec:
     """Encodes and decodes whole texts, remembering words."""
@@ -184,7 +202,8 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.encoder = Encoder(vocabulary)
-        self.marked, self.bare = _Words(self.encoder, BLANK), _Words(self.encoder, "")
+        self.bare = _Words(self.encoder, "")
+        self.marked = _Words(self.encoder, BLANK, self.bare)
         self.line_end = np.array(self.encoder.ids("\n"), np.int32).tobytes()
         self.raw = [b""] * vocabulary.size
         for piece, i in vocabulary.ids.items():
@@ -219,6 +238,19 @@ class Codec:
         return text[1:] if self.v.dummy and text[:1] == " " else text
 
 
+_codecs: dict[int, tuple[Vocabulary, Codec]] = {}
+
+
+def _codec(vocabulary: Vocabulary) -> Codec:
+    """One per vocabulary in a worker process, so that its tasks share the words they have met."""
+    held, codec = _codecs.get(id(vocabulary), (None, None))
+    if held is not vocabulary:
+        codec = Codec(vocabulary)
+        _codecs.clear()
+        _codecs[id(vocabulary)] = (vocabulary, codec)
+    return codec
+
+
 def _lists(packed: list[bytes | None]) -> pa.Array:
     sizes = [len(p) // 4 if p is not None else 0 for p in packed]
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -240,7 +272,7 @@ def with_ids(
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # of the model's size
 
     def begin():
-        codec = Codec(sent.value)
+        codec = _codec(sent.value)
 
         def compute(texts):
             packed = [None if t is None else codec.encode(t) for t in texts]
@@ -258,7 +290,7 @@ def with_text(tokens: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text:
     sent = tokens.sparkSession.sparkContext.broadcast(vocabulary)
 
     def begin():
-        codec = Codec(sent.value)
+        codec = _codec(sent.value)
 
         def compute(lists):
             return [pa.array([
