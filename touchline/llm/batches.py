@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 ROWS = 256
@@ -13,6 +15,16 @@ LETTERS = 1 << 20
 """Rows, and characters beyond the first text, handed to a function at once."""
 
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver does, however the driver was started."""
+    path = spark.sparkContext.environment
+    if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):
+        path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
+
+
 def pieces(texts: list) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of at most ``ROWS`` rows and ``LETTERS`` characters, or of one text."""
     at = size = 0

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from touchline.llm import language, mixing, near_texts, near_vectors, pieces, quality, topk, toxicity, urls, warc
+from touchline.llm.batches import reachable
 from touchline.session import scratch
 
-
-_ROOT = str(Path(__file__).resolve().parents[2])
-
-
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    # Python workers find this package where the driver does, however the driver was started.
-    path = spark.sparkContext.environment
-    if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):
-        path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
+    reachable(spark)
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
@@ -158,6 +150,7 @@ def _op10(spark, d, model=MODEL):
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_language_network": _op1,
         "op2_pfair_mix": _op2,
         "op3_url_cascade": _op3,
