@@ -101,7 +101,7 @@ def _prefix(tree: Column, depth: int) -> Column:
 
 
 def regions(classes: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
-    """``region`` and ``cid`` of every set that shares one: those of bounded size, and the crowded ones.
+    """``region``, ``tree`` and ``cid`` of every set that shares one: those of bounded size, and the crowded ones.
 
     Crowded regions, with more than ``crowd`` sets at ``DEPTH``, appear whole in the second; in the first
     they are cut deeper until each part is small, or, where whole signatures are alike, by hash.
@@ -110,10 +110,10 @@ def regions(classes: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFram
     rows = classes.select("cid", "sig", trees)
     keyed = rows.select(_prefix(F.col("tree"), DEPTH).alias("region"), "cid", "tree")
     counts = pin(keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"))
-    small = keyed.join(counts.where(F.col("size") <= crowd).select("region"), "region").select("region", "cid")
+    small = keyed.join(counts.where(F.col("size") <= crowd).select("region"), "region").select("region", "tree", "cid")
     crowded = keyed.join(counts.where(F.col("size") > crowd), "region")
     rest, depth = crowded.select("cid", "tree"), DEPTH
-    whole = crowded.select("region", "cid", "size")
+    whole = crowded.select("region", "tree", "cid")
     while counts.where(F.col("size") > crowd).limit(1).count():
         depth = min(2 * depth, DEEPEST)
         deeper = pin(rest.join(classes.select("cid", "sig"), "cid").select(
@@ -122,7 +122,7 @@ def regions(classes: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFram
         counts = pin(deeper.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"))
         part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / crowd)) if depth == DEEPEST else F.lit(0)
         fits = deeper.join(counts if depth == DEEPEST else counts.where(F.col("size") <= crowd), "region")
-        small = small.unionByName(fits.select(F.xxhash64("region", part).alias("region"), "cid"))
+        small = small.unionByName(fits.select(F.xxhash64("region", part).alias("region"), "tree", "cid"))
         if depth == DEEPEST:
             break
         rest = deeper.join(counts.where(F.col("size") > crowd), "region").select("cid", "tree")
@@ -143,20 +143,70 @@ def _may_link(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
 
 
-def _pairs_within(cid, n, comp, sig, percent: int, all_pairs: bool):
-    """Pairs of one region worth confirming: of each set the best before it, or all across components."""
+def _proposals(cid, n, sig, percent: int):
+    """Of each set of a region the most alike before it, if it may link."""
     order = np.argsort(cid)
-    cid, n, comp, sig = cid[order], n[order], comp[order], sig[order]
+    cid, n, sig = cid[order], n[order], sig[order]
     likely = _alike(sig, sig)
-    ok = (likely >= percent / 100 - SLACK) & _may_link(n[:, None], n[None, :], percent) & np.tri(len(cid), k=-1, dtype=bool)
-    if all_pairs:
-        b, a = np.nonzero(ok & (comp[:, None] != comp[None, :]))
-    else:
-        score = np.where(ok, likely, -1)
-        a = score.argmax(axis=1)
-        b = np.flatnonzero(score[np.arange(len(cid)), a] >= 0)
-        a = a[b]
-    return cid[a], cid[b], likely[b, a]
+    ok = (likely >= percent / 100 - SLACK) & _may_link(n[:, None], n[None, :], percent)
+    score = np.where(ok & np.tri(len(cid), k=-1, dtype=bool), likely, -1)
+    a = score.argmax(axis=1)
+    b = np.flatnonzero(score[np.arange(len(cid)), a] >= 0)
+    return cid[a[b]], cid[b], likely[b, a[b]]
+
+
+def _linked(common: int, a: int, b: int, percent: int) -> bool:
+    return 100 * common >= percent * (a + b - common)
+
+
+class _Side:
+    """Sets of a region or of a block of one; their shingles are worked out when a pair needs them."""
+
+    def __init__(self, table: pa.Table):
+        self.cid, self.n, self.comp = (table[c].to_numpy() for c in ("cid", "n", "comp"))
+        self.tree = table["tree"][0].as_py()
+        self.sig, self.text, self.sets = _matrix(table["sig"]), table["text"], {}
+
+    def set_of(self, i: int) -> np.ndarray:
+        if i not in self.sets:
+            self.sets[i] = shingles([self.text[i].as_py()])[0]
+        return self.sets[i]
+
+
+def _links_across(left: _Side, right: _Side, percent: int):
+    """Confirmed links between components of two sides, no more than join what they have apart.
+
+    A pair that shares regions of several trees is looked at in the first of them.
+    """
+    likely = _alike(left.sig, right.sig)
+    ok = (likely >= percent / 100 - SLACK) & _may_link(left.n[:, None], right.n[None, :], percent)
+    i, j = np.nonzero(ok & (left.comp[:, None] != right.comp[None, :]) & (left.cid[:, None] < right.cid[None, :])
+                      if left is right else ok & (left.comp[:, None] != right.comp[None, :]))
+    mine = np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 14):
+        part = slice(a, a + (1 << 14))
+        same = (left.sig[i[part]] == right.sig[j[part]]).reshape(-1, TREES, HASHES // TREES)[:, :, :DEPTH].all(axis=2)
+        mine[part] = same.argmax(axis=1) == left.tree
+    i, j = i[mine], j[mine]
+    order = np.argsort(-likely[i, j], kind="stable")
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    found = []
+    for p, q in zip(i[order].tolist(), j[order].tolist()):
+        one, other = find(int(left.comp[p])), find(int(right.comp[q]))
+        if one != other:
+            x, y = left.set_of(p), right.set_of(q)
+            at = np.searchsorted(y, x)
+            common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+            if _linked(common, len(x), len(y), percent):
+                found.append((left.cid[p], right.cid[q], likely[p, q]))
+                root[max(one, other)] = min(one, other)
+    return tuple(np.array(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
 
 _FOUND = "a long, b long, likely float"
@@ -166,11 +216,17 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
 
 
-def _weigh(members: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Pairs from every region of ``members`` (``region``, ``cid``, ``n``, ``comp``, ``sig``).
+_MEMBER = ["region", "tree", "cid", "n", "comp", "sig", "text"]
+
+
+def _weigh(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs from every region of ``members``: with the columns ``_MEMBER`` links across components, with
+    ``region``, ``cid``, ``n`` and ``sig`` proposals.
 
     Regions are of bounded size; those of a partition follow one another, so a task holds one at a time.
     """
+    confirm = "text" in members.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
@@ -185,28 +241,33 @@ def _weigh(members: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
                 continue
             done = pa.concat_tables([*held, table.slice(0, last)])
             if done.num_rows:
-                yield from _by_region(done, percent, all_pairs)
+                yield by_region(done)
             held = [table.slice(last)]
         if held:
-            yield from _by_region(pa.concat_tables(held), percent, all_pairs)
+            yield by_region(pa.concat_tables(held))
+
+    def by_region(table: pa.Table) -> pa.RecordBatch:
+        region = table["region"].to_numpy()
+        cuts = np.flatnonzero(np.diff(region)) + 1
+        found = []
+        if confirm:
+            for s, e in zip([0, *cuts], [*cuts, len(region)]):
+                side = _Side(table.slice(s, e - s))
+                found.append(_links_across(side, side, percent))
+        else:
+            cid, n, sig = table["cid"].to_numpy(), table["n"].to_numpy(), _matrix(table["sig"])
+            found = [
+                _proposals(cid[s:e], n[s:e], sig[s:e], percent)
+                for s, e in zip([0, *cuts], [*cuts, len(region)]) if e - s > 1
+            ]
+        return _found(found)
 
     dealt = members.repartition("region").sortWithinPartitions("region")
-    return dealt.select("region", "cid", "n", "comp", "sig").mapInArrow(run, _FOUND)
-
-
-def _by_region(table: pa.Table, percent: int, all_pairs: bool) -> Iterator[pa.RecordBatch]:
-    region, cid, n, comp = (table[c].to_numpy() for c in ("region", "cid", "n", "comp"))
-    sig = _matrix(table["sig"])
-    cuts = np.flatnonzero(np.diff(region)) + 1
-    found = [
-        _pairs_within(cid[s:e], n[s:e], comp[s:e], sig[s:e], percent, all_pairs)
-        for s, e in zip([0, *cuts], [*cuts, len(region)]) if e - s > 1
-    ]
-    yield _found(found)
+    return dealt.select(*(_MEMBER if confirm else ["region", "cid", "n", "sig"])).mapInArrow(run, _FOUND)
 
 
 def _found(parts: list[tuple]) -> pa.RecordBatch:
-    columns = [np.concatenate(c) if c else np.zeros(0) for c in (zip(*parts) if parts else ((), (), ()))]
+    columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (zip(*parts) if parts else ((), (), ()))]
     kinds = (np.int64, np.int64, np.float32)
     return pa.RecordBatch.from_arrays(
         [pa.array(c.astype(k)) for c, k in zip(columns, kinds)], names=["a", "b", "likely"]
@@ -214,7 +275,7 @@ def _found(parts: list[tuple]) -> pa.RecordBatch:
 
 
 def _weigh_crowded(members: DataFrame, percent: int, crowd: int = CROWD) -> DataFrame:
-    """Pairs across components from regions of any size (``members`` with ``size`` too).
+    """Links across components from regions of any size.
 
     Sets outside a region's largest component meet all its sets, in blocks of both.
     """
@@ -225,32 +286,25 @@ def _weigh_crowded(members: DataFrame, percent: int, crowd: int = CROWD) -> Data
         "region", "main", F.ceil(F.col("size") / crowd).alias("blocks"),
         F.ceil((F.col("size") - F.col("most")) / crowd).alias("others"),
     )
-    rows = members.select("region", "cid", "n", "comp", "sig").join(main, "region")
+    rows = members.select(*_MEMBER).join(main, "region")
     one = F.lit(0).cast("long")
     left = rows.withColumn("i", F.pmod(F.xxhash64("cid"), "blocks")).withColumn(
         "j", F.explode(F.sequence(one, F.col("others") - 1)))
     right = rows.where("comp <> main").withColumn("j", F.pmod(F.xxhash64("cid"), "others")).withColumn(
         "i", F.explode(F.sequence(one, F.col("blocks") - 1)))
-    keep = ["region", "i", "j", "cid", "n", "comp", "sig"]
+    keep = [*_MEMBER, "i", "j"]
 
     def meet(l: pa.Table, r: pa.Table) -> pa.Table:
-        if not l.num_rows or not r.num_rows:
-            return pa.Table.from_batches([_found([])])
-        (ca, na, ka), (cb, nb, kb) = ([t[c].to_numpy() for c in ("cid", "n", "comp")] for t in (l, r))
-        likely = _alike(_matrix(l["sig"]), _matrix(r["sig"]))
-        ok = (likely >= percent / 100 - SLACK) & _may_link(na[:, None], nb[None, :], percent) & (ka[:, None] != kb[None, :])
-        i, j = np.nonzero(ok)
-        low, high = np.minimum(ca[i], cb[j]), np.maximum(ca[i], cb[j])
-        return pa.Table.from_batches([_found([(low, high, likely[i, j])])])
+        found = [_links_across(_Side(l), _Side(r), percent)] if l.num_rows and r.num_rows else []
+        return pa.Table.from_batches([_found(found)])
 
     return left.select(*keep).toDF(*keep).groupBy("region", "i", "j").cogroup(
         right.select(*keep).toDF(*keep).groupBy("region", "i", "j")
     ).applyInArrow(meet, _FOUND)
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, text: str, percent: int) -> DataFrame:
-    """``a``, ``b`` and ``linked`` of ``pairs``, on the full sets of their texts."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+def _texts(need: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, text: str) -> DataFrame:
+    """``cid`` and ``text`` of the classes of ``need``, whose ``cid`` are distinct."""
     need = pin(need.join(classes.select("cid", "rep"), "cid"))
     # Broadcast up to a size that is checked; beyond it the join moves the texts.
     ids = F.broadcast(need) if need.count() <= BROADCAST_ROWS else need
@@ -262,7 +316,13 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, t
 
     # Rows that repeat an id may have other texts, and rows of one class that repeat it are the same.
     texts = pin(add_columns(found, "text", {"own": "long"}, own).where("own = cid").select("cid", "text"))
-    texts = texts.groupBy("cid").agg(F.min("text").alias("text")) if need.count() < texts.count() else texts
+    return texts.groupBy("cid").agg(F.min("text").alias("text")) if need.count() < texts.count() else texts
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, text: str, percent: int) -> DataFrame:
+    """``a``, ``b`` and ``linked`` of ``pairs``, on the full sets of their texts."""
+    need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    texts = _texts(need, classes, docs, id_, text)
     with_a = pairs.select("a", "b").join(texts.select(F.col("cid").alias("a"), F.col("text").alias("x")), "a")
     with_b = with_a.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("y")), "b")
 
@@ -272,7 +332,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, t
             for at in range(0, len(a), 64):
                 one, other = shingles(x[at:at + 64]), shingles(y[at:at + 64])
                 common = [len(np.intersect1d(s, t, assume_unique=True)) for s, t in zip(one, other)]
-                linked = [100 * c >= percent * (len(s) + len(t) - c) for c, s, t in zip(common, one, other)]
+                linked = [_linked(c, len(s), len(t), percent) for c, s, t in zip(common, one, other)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a[at:at + 64], pa.int64()), pa.array(b[at:at + 64], pa.int64()), pa.array(linked)],
                     names=["a", "b", "linked"],
@@ -299,23 +359,24 @@ def near_duplicates(
     few, crowded = regions(classes, crowd)
     few, crowded = pin(few), pin(crowded)
     facts = classes.select("cid", "n", "sig")
-    best = _weigh(few.join(facts.withColumn("comp", F.col("cid")), "cid"), percent, all_pairs=False)
+    best = _weigh(few.join(facts, "cid"), percent)
     best = best.groupBy("b").agg(F.max_by("a", F.struct("likely", "a")).alias("a")).select("a", "b")
     first = pin(confirmed(pin(best), classes, docs, id_, text, percent))
     links = first.where("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
     roots = pin(components(links))
 
-    def members(rows: DataFrame) -> DataFrame:
+    def apart(rows: DataFrame) -> DataFrame:
         placed = rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left")
         placed = placed.withColumn("comp", F.coalesce("root", "cid")).drop("root")
         # Regions that one component fills have nothing left to weigh.
         mixed = placed.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        return placed.join(mixed.select("region"), "region", "left_semi").join(facts, "cid")
+        return pin(placed.join(mixed.select("region"), "region", "left_semi"))
 
-    more = _weigh(members(few), percent, all_pairs=True)
-    more = more.unionByName(_weigh_crowded(members(crowded.drop("size")), percent, crowd)).select("a", "b").distinct()
-    more = pin(more.join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    late = pin(confirmed(more, classes, docs, id_, text, percent).where("linked"))
+    few, crowded = apart(few), apart(crowded)
+    need = few.select("cid").unionByName(crowded.select("cid")).distinct()
+    facts = facts.join(_texts(need, classes, docs, id_, text), "cid")
+    late = _weigh(few.join(facts, "cid"), percent)
+    late = pin(late.unionByName(_weigh_crowded(crowded.join(facts, "cid"), percent, crowd)))
     if late.limit(1).count():
         roots = components(links.unionByName(late.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     placed = classes.select("cid", "rep", "times").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
