@@ -185,7 +185,9 @@ def test_odd_texts_and_back(spark, vocabulary):
 
 # --- archives ----------------------------------------------------------------------------------
 
-def test_archives_of_odd_pages(spark):
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_archives_of_odd_pages(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
     same, tricky = "s" * 100, "a\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n" * 5
     pages = [(5, "http://a", same), (3, "http://b\r\nX: y", same), (3, "http://c%0D", same), (None, None, same), (9, "u", "s" * 99), (8, "u", "s" * 99),
              (1, None, None), (2, "é", ""), (4, "t", tricky), (6, "t", tricky), (7, "l", "long " * 100_000), (None, "n", "only null" * 20)]

@@ -15,10 +15,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from touchline.session import pin
+
 LEAST_BYTES = 100
 """Payloads of fewer bytes are always stored."""
 ARCHIVE_BYTES = 32 << 20
-"""Size of an archive, about."""
+"""Size of an archive before compression, about."""
+BROADCAST_ROWS = 200_000
 END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -85,20 +88,24 @@ def records(decided: DataFrame, date: str) -> DataFrame:
 
 def write(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", least: int = LEAST_BYTES) -> None:
     """Write a record for each page below ``folder``, in archives of about ``ARCHIVE_BYTES``."""
-    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    parts = max(1, -(-total // ARCHIVE_BYTES))
-    # Payloads move once, by page and digest, which spreads the copies of one payload; their archives
-    # are the partitions of that move.
-    heads = decide(pages, least).select(
-        F.col("page_id").alias("id"), F.col("payload_digest").alias("digest"), "record_type", "refers_to"
+    revisits = pin(decide(pages, least).where("record_type = 'revisit'").select(
+        F.col("page_id").alias("id"), F.col("payload_digest").alias("digest"), "refers_to"
+    ))
+    found, held = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).first(), _rows(pages)
+    # Of checked size, payloads stay where they are; beyond it the join moves them once, by page and
+    # digest, which spreads the copies of one payload.
+    revisits = F.broadcast(revisits) if revisits.count() <= BROADCAST_ROWS else revisits
+    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("payload_digest") == F.col("digest"))
+    decided = held.join(revisits, same, "left").withColumn(
+        "record_type", F.when(F.col("digest").isNull(), "response").otherwise("revisit")
     )
-    dealt = _rows(pages).repartition(parts, "page_id", "payload_digest")
-    decided = dealt.join(heads.repartition(parts, "id", "digest"), F.col("page_id").eqNullSafe(F.col("id"))
-                         & (F.col("payload_digest") == F.col("digest")))
+    each = max(1, (found[1] or 0) // max(1, found[0]))
     text = records(decided.withColumn(
         "payload", F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload"))
     ), date)
-    text.write.option("lineSep", END).option("compression", "gzip").text(folder)
+    text.write.option("lineSep", END).option("compression", "gzip").option(
+        "maxRecordsPerFile", max(1, ARCHIVE_BYTES // each)
+    ).text(folder)
 
 
 def _parse(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
