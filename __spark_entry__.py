@@ -30,9 +30,6 @@ except ModuleNotFoundError as missing:
     _llm = None
 
 _DIGITS = 6
-# Means of xG are ranked as rounded. Prices in hundredths over a power of two (1.69 / 32) lie halfway
-# between two values of six digits, where the order of addition would decide; of twelve, they do not.
-_XG_DIGITS = 12
 
 
 def _plain(df: DataFrame, *doubles: str) -> DataFrame:
@@ -64,7 +61,7 @@ def _pass_completion(spark, d, n=5):
 
 def _xg_rank(spark, d, top=None):
     shots = star.events(spark, d, "Shot", parts=True)
-    return jobs.xg_rank(shots, star.matches(spark, d), star.competitions(spark, d), digits=_XG_DIGITS, top=top)
+    return jobs.xg_rank(shots, star.matches(spark, d), star.competitions(spark, d), top=top)
 
 
 def _dribbles(spark, d):
@@ -95,7 +92,7 @@ def _duration(spark, d):
 
 def _cross_rank(spark, d, top=None):
     crosses = star.events(spark, d, "Pass", only=star.OPEN)
-    out = jobs.cross_rank(crosses, star.matches(spark, d, placed=False), top=top)
+    out = jobs.cross_rank(crosses, star.matches(spark, d, placed=False), top=top, fold=False)
     return _plain(out, "cross_completion")
 
 
@@ -445,7 +442,7 @@ def _completion_sql(frame: str) -> str:
 
 _XG_SQL = f"""
     WITH m AS ({_MATCHES}), means AS (
-        SELECT p_brand AS player_name, competition_name, round(avg(l_discount), {_XG_DIGITS}) AS avg_xg
+        SELECT p_brand AS player_name, competition_name, round(avg(l_discount), 12) AS avg_xg
         FROM lineitem JOIN part ON l_partkey = p_partkey JOIN m ON l_orderkey = match_id GROUP BY ALL),
     places AS (
         SELECT *, dense_rank() OVER (PARTITION BY competition_name ORDER BY avg_xg DESC) AS rank_in_comp

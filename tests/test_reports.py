@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import functions as flat
 from touchline.plans import jobs
-from touchline.sources import read_competitions, read_events, read_matches
+from touchline.sources import read_competitions, read_events, read_matches, star
 
 
 @pytest.fixture
@@ -184,3 +184,20 @@ def test_mean_of_differences_is_zero(spark):
 
     df = spark.range(1, 200).select((F.col("id") * 0.37).alias("v"))
     assert diff_from_mean(df, "v").agg(F.avg("diff")).first()[0] == pytest.approx(0, abs=1e-9)
+
+
+def test_no_season_is_dropped(spark, tmp_path):
+    """Orders of 1850 and 2150 keep their goals and shots, in the competitions as in the reports."""
+    given = "/root/testdata/sf0.001"
+    for name in ("region", "nation", "customer", "lineitem", "part"):
+        star.table(spark, given, name).write.parquet(f"{tmp_path}/{name}.parquet")
+    moved = F.when(F.col("o_orderkey") % 3 == 0, F.lit("1850-03-01")).when(F.col("o_orderkey") % 3 == 1, F.lit("2150-03-01"))
+    star.table(spark, given, "orders").withColumn(
+        "o_orderdate", F.coalesce(moved.cast("timestamp_ntz"), "o_orderdate")
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    places, held = star.matches(spark, tmp_path), star.competitions(spark, tmp_path)
+    goals = star.events(spark, tmp_path, "Shot", only=star.RETURNED)
+    shots = star.events(spark, tmp_path, "Shot", parts=True)
+    by_year = rows(jobs.goals_growth(goals, places, held).groupBy("season_id").agg(F.sum("goals")), "season_id", "sum(goals)")
+    assert sum(n for _, n in by_year) == goals.count() and {1850, 2150} <= {y for y, _ in by_year}
+    assert jobs.conversion_by_position(shots, places, held).agg(F.sum("shots")).first()[0] == shots.count()

@@ -75,11 +75,21 @@ def test_enrich_keeps_unknown_teams_and_malformed_payloads(spark, feed, drain):
 def test_duplicate_team_leaves_sums_alone(spark, feed, drain):
     feed(score("10:00", home=3), score("11:00"))
     teams = spark.createDataFrame([("Reds", "Peru"), ("Reds", "Chile"), ("Reds", None)], "team_name string, country string")
-    assert rows(one_per_key(teams, "team_name")) == [("Reds", None)]
+    assert rows(one_per_key(teams, "team_name")) == [("Reds", "Chile")]
     out = drain(team_form(enrich(feed.scores(), teams), size="5 minutes", slide="5 minutes"))
     assert clocks(out, "goals_scored", "goals_conceded") == [("10:00", 3, 0)]
 
 
+def test_fullest_row_speaks_for_its_key(spark):
+    teams = spark.createDataFrame(
+        [("Reds", None, "Park", None), ("Reds", "Chile", "Park", {"a": 1}), ("Reds", "Zaire", "Park", {"a": 1}), ("Blues", None, None, None)],
+        "team_name string, country string, stadium string, notes map<string, int>",
+    )
+    assert rows(one_per_key(teams, "team_name"), "team_name", "country", "stadium") == [
+        ("Blues", None, None), ("Reds", "Chile", "Park"),
+    ]
+
+
 def test_one_per_key_without_other_columns(spark):
     assert rows(one_per_key(spark.createDataFrame([("a",), ("a",)], "k string"), "k")) == [("a",)]
 

@@ -32,8 +32,15 @@ def by_size(
     by: Sequence[str],
     whole: Callable[[DataFrame], DataFrame],
     chunked: Callable[[DataFrame], DataFrame],
+    bounded: bool = False,
 ) -> DataFrame:
-    """``whole`` over the rows of ordinary groups, together with ``chunked`` over those of large ones."""
+    """``whole`` over the rows of ordinary groups, together with ``chunked`` over those of large ones.
+
+    Both must give one schema and one value for a row, so that the limit chooses a plan and nothing
+    else. Where all groups are known to be ordinary (``bounded``), nothing is written or counted.
+    """
+    if bounded:
+        return whole(df)
     rows = pin(df)
     large = large_groups(rows, by)
     if large is None:
@@ -49,8 +56,6 @@ def large_groups(rows: DataFrame, by: Sequence[str]) -> DataFrame | None:
     Each holds more than a given part of all rows, so their number is below the inverse of that part
     however large the data is: they can pass through the driver and be broadcast.
     """
-    if len(rows.inputFiles()) == 1:
-        return None  # one task wrote all the rows, so one can read them
     spark = rows.sparkSession
     part = FAIR_PART / int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))

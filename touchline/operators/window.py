@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType
 
 from touchline.functions.rates import change, share
 from touchline.operators.ordered import CHUNK, attach, by_size, spanning, split, spread
@@ -21,11 +22,14 @@ def running(
     fn: str = "avg",
     n: int | None = 5,
     name: str = "running",
+    bounded: bool = False,
 ) -> DataFrame:
     """``fn`` (avg, sum or count) over the last ``n`` rows of the group, the current one included.
 
     ``n=None`` runs from the group's first row. Without a ``value``, ``count`` counts rows. ``order``
-    must be total within a group.
+    must be total within a group. ``bounded`` says that no group is large, so that a plain window
+    will do and nothing runs yet; else the rows are written once here. Either way the result has the
+    type that Spark gives the plain window.
     """
     if fn not in _AGGREGATES or (value is None and fn != "count"):
         raise ValueError(f"cannot run {fn!r} over {value!r}")
@@ -33,14 +37,17 @@ def running(
     aggregate = _AGGREGATES[fn](operand)
     start = Window.unboundedPreceding if n is None else 1 - n
     frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(start, 0)
+    kind = df.select(aggregate.alias(name)).schema[name].dataType
 
     def chunked(large: DataFrame) -> DataFrame:
         rows = split(large, by, [F.col(c).asc() for c in order])
         if n is None:
-            return _running_from_start(rows, by, order, operand, fn, name)
-        return _running_last(rows, by, order, aggregate, n, name)
+            mended = _running_from_start(rows, by, order, operand, fn, name)
+        else:
+            mended = _running_last(rows, by, order, aggregate, n, name)
+        return mended.withColumn(name, F.col(name).cast(kind))
 
-    return by_size(df, by, lambda rows: rows.withColumn(name, aggregate.over(frame)), chunked)
+    return by_size(df, by, lambda rows: rows.withColumn(name, aggregate.over(frame)), chunked, bounded)
 
 
 def _running_last(
@@ -70,6 +77,8 @@ def _running_last(
 def _running_from_start(
     rows: DataFrame, by: Sequence[str], order: Sequence[str], operand: Column, fn: str, name: str
 ) -> DataFrame:
+    if fn == "avg" and not isinstance(rows.select(operand.alias("v")).schema["v"].dataType, DecimalType):
+        operand = operand.cast("double")  # as Spark's mean adds up all but decimals; large integers can't overflow
     so_far = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
@@ -93,7 +102,7 @@ def _running_from_start(
     count = F.col("_n") + F.coalesce("_n_before", F.lit(0))
     # A sum over no values at all is NULL, not 0.
     total = F.coalesce(F.col("_sum") + F.col("_sum_before"), "_sum", "_sum_before")
-    result = {"count": count, "sum": total, "avg": share(total, count)}[fn]
+    result = {"count": count, "sum": total, "avg": F.try_divide(total, count)}[fn]
     return seen.withColumn(name, result).drop(CHUNK, "_sum", "_n", "_sum_before", "_n_before")
 
 
@@ -106,11 +115,14 @@ def ranked(
     ascending: bool = False,
     name: str = "rank",
     top: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Rank of ``value`` within the group: ``rank``, ``dense`` or ``percent``.
 
     Equal values rank equal. The ``tie`` columns tell the rows of a group apart; they only spread
-    rows with one common value over several chunks. ``top`` keeps ranks up to that number.
+    rows with one common value over several chunks. ``top`` keeps ranks up to that number. With it a
+    plain window will do, as Spark keeps no more than the top of a group on both sides of the shuffle,
+    and so it will where ``bounded`` says that no group is large; nothing runs yet then.
     """
     if kind not in _RANKS:
         raise ValueError(f"unknown kind of rank: {kind!r}")
@@ -123,22 +135,20 @@ def ranked(
         by,
         lambda rows: rows.withColumn(name, place if kind == "percent" else place.cast("long")),
         lambda large: _ranked_chunks(
-            split(large, by, [sense, *[F.col(c).asc() for c in tie]]), by, value, kind, ascending, name, top
+            split(large, by, [sense, *[F.col(c).asc() for c in tie]]), by, value, kind, ascending, name
         ),
+        bounded or top is not None,
     )
     return ranks if top is None else ranks.where(F.col(name) <= top)
 
 
 def _ranked_chunks(
-    rows: DataFrame, by: Sequence[str], value: str, kind: str, ascending: bool, name: str, top: int | None
+    rows: DataFrame, by: Sequence[str], value: str, kind: str, ascending: bool, name: str
 ) -> DataFrame:
     sense = F.col(value).asc() if ascending else F.col(value).desc()
     in_chunk = Window.partitionBy(*by, CHUNK).orderBy(sense)
     local = F.dense_rank() if kind == "dense" else F.rank()
     ranks = spread(rows).withColumn("_local", local.over(in_chunk))
-    if top is not None:
-        # Never larger than the full rank, so this drops nothing wanted.
-        ranks = ranks.where(F.col("_local") <= top)
     seen = attach(
         ranks.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy(*by, CHUNK))),
         _carried_ranks(rows, by, value, ascending),

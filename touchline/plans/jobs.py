@@ -73,10 +73,15 @@ def xg_rank(
     matches: DataFrame,
     competitions: DataFrame,
     player: str = "player_name",
-    digits: int | None = None,
+    digits: int | None = 12,
     top: int | None = None,
 ) -> DataFrame:
-    """Mean expected goals per shot by player, ranked without gaps within the competition."""
+    """Mean expected goals per shot by player, ranked without gaps within the competition.
+
+    Means are ranked as rounded to ``digits``; unrounded, equal means could differ in their last bits
+    by the order of addition, and their ranks from run to run. A competition has as many rows as
+    players, so a plain window ranks them.
+    """
     shots = events.where(_kind("Shot") & F.col("shot.statsbomb_xg").isNotNull())
     named = with_competition(matches, competitions, ["competition_name"])
     sums = sum_through(
@@ -93,7 +98,7 @@ def xg_rank(
         player, "competition_name", share(F.col("xg"), F.col("shots"), digits).alias("avg_xg")
     )
     return ranked(
-        means, ["competition_name"], "avg_xg", [player], "dense", name="rank_in_comp", top=top
+        means, ["competition_name"], "avg_xg", [player], "dense", name="rank_in_comp", top=top, bounded=True
     ).select(player, "competition_name", "avg_xg", "rank_in_comp")
 
 
@@ -151,7 +156,8 @@ def conversion_by_position(
     )
     rates = sums.withColumn("conversion_rate", share(F.col("goals"), F.col("shots")))
     return ranked(
-        rates, ["league"], "conversion_rate", ["position_name"], "percent", ascending, "percentile_rank"
+        rates, ["league"], "conversion_rate", ["position_name"], "percent", ascending, "percentile_rank",
+        bounded=True,
     ).select("league", "position_name", "shots", "goals", "conversion_rate", "percentile_rank")
 
 
@@ -179,8 +185,12 @@ def cross_rank(
     team: str = "team_name",
     season: str = "season_id",
     top: int | None = None,
+    fold: bool = True,
 ) -> DataFrame:
-    """Share of completed crosses by team and season, ranked within the season."""
+    """Share of completed crosses by team and season, ranked within the season.
+
+    ``fold`` is that of ``sum_through``: worth its shuffle where a match has many crosses of a team.
+    """
     crosses = events.where(_kind("Pass") & F.col("pass.cross"))
     sums = sum_through(
         crosses,
@@ -188,6 +198,7 @@ def cross_rank(
         "match_id",
         [team],
         [season],
+        fold,
         crosses=F.lit(1),
         successful_crosses=flag(F.col("pass.outcome.name").isNull()),
     )
@@ -195,7 +206,7 @@ def cross_rank(
         team, season, share(F.col("successful_crosses"), F.col("crosses")).alias("cross_completion")
     )
     return ranked(
-        rates, [season], "cross_completion", [team], "rank", name="rank_in_season", top=top
+        rates, [season], "cross_completion", [team], "rank", name="rank_in_season", top=top, bounded=True
     ).select(team, season, "cross_completion", "rank_in_season")
 
 

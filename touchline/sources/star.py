@@ -10,9 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.sources.stream import read_stream
 
-# The years a season may have.
-SEASONS = (1900, 2100)
-
 # The tables' columns. Stating them saves a job per read, which would look them up.
 COLUMNS = {
     "region": "r_regionkey int, r_name string",
@@ -51,12 +48,12 @@ def matches(spark: SparkSession, folder: str, placed: bool = True) -> DataFrame:
 
 
 def competitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Each region in each season."""
-    return table(spark, folder, "region").select(
-        F.col("r_regionkey").cast("long").alias("competition_id"),
-        F.explode(F.sequence(*[F.lit(y).cast("long") for y in SEASONS])).alias("season_id"),
-        F.col("r_name").alias("competition_name"),
+    """Each region in each season that it has matches in."""
+    played = matches(spark, folder).select("competition_id", "season_id").distinct()
+    regions = table(spark, folder, "region").select(
+        F.col("r_regionkey").cast("long").alias("competition_id"), F.col("r_name").alias("competition_name")
     )
+    return played.join(regions, "competition_id")
 
 
 # Line items that are passes, and those that are goals or completed dribbles.

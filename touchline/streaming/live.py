@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions import parse_scores
-from touchline.session import pin
 from touchline.sinks import start_append
-from touchline.streaming.scores import enrich, high_scoring, one_per_key, team_form, tumbling_avg
+from touchline.streaming.scores import enrich, high_scoring, team_form, tumbling_avg
 
 # Collection -> its windows.
 COLLECTIONS = {
@@ -28,7 +27,7 @@ def start_all(
     """
     scores = parse_scores(payloads)
     if teams is not None:
-        scores = enrich(scores, pin(one_per_key(teams, "team_name")), unique=True)
+        scores = enrich(scores, teams)
     return [
         start_append(windows(scores), name, checkpoint, **sink)
         for name, windows in COLLECTIONS.items()

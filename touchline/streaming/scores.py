@@ -11,43 +11,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.session import pin
+
 DELAY = "1 minute"
 
 
 def one_per_key(dimension: DataFrame, key: str) -> DataFrame:
-    """One row per ``key``, always the same one: the smallest. A second would double window sums."""
+    """One row per ``key``, always the same one. A second would double window sums.
+
+    The row with the most columns filled speaks for its key; of several, the smallest as JSON text, which
+    orders columns of any type.
+    """
     rest = [F.col(c) for c in dimension.columns if c != key]
     if not rest:
         return dimension.distinct()
-    return dimension.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*")
+    filled = sum((c.isNotNull().cast("int") for c in rest), F.lit(0))
+    row = F.struct(*rest)
+    return dimension.groupBy(key).agg(
+        F.min_by(row, F.struct((-filled).alias("empty"), F.to_json(row).alias("text"))).alias("_row")
+    ).select(key, "_row.*")
 
 
-def enrich(
-    scores: DataFrame,
-    teams: DataFrame,
-    on: str = "home_team",
-    key: str = "team_name",
-    unique: bool = False,
-) -> DataFrame:
+def enrich(scores: DataFrame, teams: DataFrame, on: str = "home_team", key: str = "team_name") -> DataFrame:
     """Add the team's columns; scores of unknown teams stay, with NULLs.
 
-    ``unique=True`` says that ``teams`` has one row per key. Otherwise it is reduced to that here,
-    in every micro-batch anew; for a long-running stream reduce and pin it once.
+    ``teams`` is reduced to one row per key and written here, once and outside the stream, so each
+    micro-batch joins a table as it lies.
     """
-    static = teams if unique else one_per_key(teams, key)
-    return scores.join(static, F.col(on) == F.col(key), "left_outer")
+    return scores.join(pin(one_per_key(teams, key)), F.col(on) == F.col(key), "left_outer")
 
 
 def attach_player(
-    scores: DataFrame,
-    players: DataFrame,
-    on: str,
-    key: str = "player_id",
-    goal: Column | None = None,
-    unique: bool = False,
+    scores: DataFrame, players: DataFrame, on: str, key: str = "player_id", goal: Column | None = None
 ) -> DataFrame:
     """Goal events with the player's columns from the lineups. ``goal`` says which rows are goals."""
-    return enrich(scores if goal is None else scores.where(goal), players, on, key, unique)
+    return enrich(scores if goal is None else scores.where(goal), players, on, key)
 
 
 def tumbling_avg(
