@@ -38,17 +38,18 @@ class Vocabulary:
     unknown: int
     size: int
     dummy: bool
+    inner: set[str] = field(default_factory=set)
     longest: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
-        """For each pair of characters inside a piece, the longest piece that ends in it, else 2."""
+        """The pairs of characters inside a piece, and the longest piece that ends in three given ones."""
         for piece in self.ids:
-            for i in range(2, len(piece) + 1):
-                pair = piece[i - 2:i]
-                self.longest[pair] = max(self.longest.get(pair, 2), len(piece) if i == len(piece) else 2)
+            self.inner.update(piece[i - 2:i] for i in range(2, len(piece) + 1))
+            if len(piece) > 2:
+                self.longest[piece[-3:]] = max(self.longest.get(piece[-3:], 3), len(piece))
         self.reach = max(map(len, self.ids), default=1)
         # A mark inside a word, or a line end in a piece, would join what is taken apart here.
-        self.words = not any((p[1] == BLANK and p[0] != BLANK) or "\n" in p for p in self.longest)
+        self.words = not any((p[1] == BLANK and p[0] != BLANK) or "\n" in p for p in self.inner)
 
 
 def load(path: str) -> Vocabulary:
@@ -102,19 +103,18 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a stretch that has its marks already."""
-        ids, longest, reach, pairs = self.v.ids, self.v.longest, self.v.reach, self._pairs
+        ids, inner, longest, reach, pairs = self.v.ids, self.v.inner, self.v.longest, self.v.reach, self._pairs
         out: list[str] = []
         # For each boundary from ``done`` on: how the one path to it ends, and where that piece begins.
         done, last, begin = 0, [""], [0]
         for i in range(len(text)):
-            most = longest.get(text[i - 1:i + 1], 1) if i else 1
-            if most == 1:
+            if text[i - 1:i + 1] not in inner:  # nor is the empty stretch before the first character
                 # No piece holds these two characters, so all paths share the boundary between them.
                 out += self._path(last, begin, done, i)
                 done, last, begin = i, ["", text[i]], [i, i]
                 continue
             end = i + 1
-            for start in range(max(done, end - most), i):
+            for start in range(max(done, end - longest.get(text[i - 2:end], 2)), i):
                 piece = text[start:end]
                 if piece in ids:
                     left = last[start - done]
@@ -188,8 +188,8 @@ class _Words(dict):
     def _encode(self, word: str) -> bytes:
         # All paths share the boundary between two characters that no piece holds side by side, so what
         # lies between such boundaries are words of their own.
-        longest = self.encoder.v.longest
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in longest]
+        inner = self.encoder.v.inner
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inner]
         if not cuts:
             return np.array(self.encoder.ids(self.mark + word), np.int32).tobytes()
         parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
