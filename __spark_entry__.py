@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from touchline import functions as flat
 from touchline.operators import diff_from_mean, lagged, mean_by, ranked, running, sum_through
 from touchline.plans import jobs
+from touchline.schemas import OPAQUE
 from touchline.session import scratch
 from touchline.sinks import (
     read_curated, read_transformed, start_append, write_curated, write_transformed,
 )
-from touchline.sources import read_events, read_lineups, read_matches, read_teams, register_views, star
+from touchline.sources import (
+    read_competitions, read_events, read_lineups, read_matches, read_stream, read_teams, register_views, star,
+)
 from touchline.streaming import attach_player, enrich, high_scoring, team_form, tumbling_avg
 
 # The training-data queries are there when their subpackage and the pipeline are.
@@ -156,34 +159,36 @@ def _named(key: str, name: str | None = None):
     return F.struct(F.col(key).alias("id"), (F.col(name) if name else F.lit(None).cast("string")).alias("name"))
 
 
+def _pair(number: int, word: str):
+    """A struct of id and name that no other field has."""
+    return F.struct(
+        (F.col("o_orderkey") + number).alias("id"), F.concat(F.lit(word), F.col("o_orderkey").cast("string")).alias("name")
+    )
+
+
 def _nested_orders(spark, d) -> DataFrame:
-    """Orders as raw match records."""
+    """Orders as raw match records, with a value of its own in every field."""
+    key = F.col("o_orderkey")
     return star.table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("match_id"),
+        key.alias("match_id"),
         F.to_date("o_orderdate").cast("string").alias("match_date"),
-        F.lit("20:45").alias("kick_off"),
-        F.lit(1).cast("long").alias("home_score"),
-        F.lit(0).cast("long").alias("away_score"),
+        F.concat(F.lit("kick"), key.cast("string")).alias("kick_off"),
+        (key + 1).alias("home_score"),
+        (key + 2).alias("away_score"),
         F.month("o_orderdate").cast("long").alias("match_week"),
-        _named("o_custkey", "o_orderpriority").alias("competition_stage"),
+        _pair(3, "stage").alias("competition_stage"),
         F.struct(F.col("o_custkey").alias("id")).alias("competition"),
         F.struct(F.year("o_orderdate").cast("long").alias("id")).alias("season"),
-        _named("o_custkey", "o_orderstatus").alias("home_team"),
-        _named("o_orderkey", "o_orderpriority").alias("away_team"),
-        _named("o_custkey").alias("stadium"),
-        _named("o_orderkey").alias("referee"),
+        _pair(4, "home").alias("home_team"),
+        _pair(5, "away").alias("away_team"),
+        _pair(6, "stadium").alias("stadium"),
+        _pair(7, "referee").alias("referee"),
         F.struct(F.col("o_orderstatus").alias("data_version")).alias("metadata"),
     )
 
 
-_MATCH_SAMPLE = [
-    "match_id", "match_date", "match_week", "competition_stage_name", "competition_id", "season_id",
-    "home_team_name", "away_team_id", "stadium_name", "data_version",
-]
-
-
 def _flatten_matches(spark, d):
-    return _plain(flat.matches(_nested_orders(spark, d)).select(*_MATCH_SAMPLE))
+    return _plain(flat.matches(_nested_orders(spark, d)))
 
 
 def _json_matches(spark, d):
@@ -192,31 +197,48 @@ def _json_matches(spark, d):
     nested = _nested_orders(spark, d)
     nested.withColumn("folder", F.col("season.id")).write.partitionBy("folder").json(f"{root}/matches")
     read = read_matches(spark, f"{root}/matches/*/*.json", multiline=False, mode="FAILFAST")
-    return _plain(flat.matches(read).select(*_MATCH_SAMPLE))
+    return _plain(flat.matches(read))
 
 
-def _flatten_competitions(spark, d):
+def _customers_as_competitions(spark, d) -> DataFrame:
     """Customers as competition records, with a field too many."""
-    raw = star.table(spark, d, "customer").select(
+    return star.table(spark, d, "customer").select(
         F.col("c_custkey").alias("competition_id"),
         F.col("c_nationkey").cast("long").alias("season_id"),
         F.col("c_name").alias("competition_name"),
         F.col("c_mktsegment").alias("competition_gender"),
-        F.lit("somewhere").alias("country_name"),
+        F.concat(F.lit("land"), F.col("c_custkey").cast("string")).alias("country_name"),
         F.col("c_nationkey").cast("string").alias("season_name"),
         F.col("c_acctbal").alias("balance"),
     )
-    return flat.competitions(raw)
+
+
+def _flatten_competitions(spark, d):
+    return flat.competitions(_customers_as_competitions(spark, d))
+
+
+def _pretty(df: DataFrame, key: str, root: str, each: int = 500) -> None:
+    """Records as pretty-printed arrays, of ``each`` keys a file."""
+    record = F.struct(*[c for c in df.columns if c != "number"])
+    arrays = df.groupBy(F.expr(f"{key} div {each}").alias("folder")).agg(F.collect_list(record).alias("all"))
+    text = arrays.select("folder", F.to_json("all", {"pretty": "true"}).alias("value"))
+    text.write.partitionBy("folder").text(root)
+
+
+def _pretty_competitions(spark, d):
+    root = scratch(spark, "pretty-competitions")
+    _pretty(_customers_as_competitions(spark, d), "competition_id", f"{root}/competitions")
+    return flat.competitions(read_competitions(spark, f"{root}/competitions/*/*", mode="FAILFAST"))
 
 
 def _squads(spark, d) -> DataFrame:
     """Orders as teams. Fulfilled ones list two players, open ones an empty lineup, others none."""
     player = F.struct(
         F.col("o_custkey").alias("player_id"),
-        F.col("o_orderpriority").alias("player_name"),
-        F.lit(None).cast("string").alias("player_nickname"),
-        F.col("o_orderkey").alias("jersey_number"),
-        _named("o_custkey", "o_orderstatus").alias("country"),
+        F.concat(F.lit("player"), F.col("o_custkey").cast("string")).alias("player_name"),
+        F.concat(F.lit("nick"), F.col("o_custkey").cast("string")).alias("player_nickname"),
+        (F.col("o_orderkey") + 1).alias("jersey_number"),
+        _pair(2, "country").alias("country"),
     )
     players = F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "O", 0)
     return star.table(spark, d, "orders").select(
@@ -227,42 +249,119 @@ def _squads(spark, d) -> DataFrame:
 
 
 def _explode_lineups(spark, d, outer=False):
-    return flat.lineups(_squads(spark, d), outer).drop("player_nickname")
+    return flat.lineups(_squads(spark, d), outer)
 
 
 def _json_lineups(spark, d):
     root = scratch(spark, "json-lineups")
     _squads(spark, d).write.json(f"{root}/lineups")
-    read = read_lineups(spark, f"{root}/lineups/*.json", multiline=False, mode="FAILFAST")
-    return flat.lineups(read).drop("player_nickname")
+    return flat.lineups(read_lineups(spark, f"{root}/lineups/*.json", multiline=False, mode="FAILFAST"))
+
+
+_NUMBERS = ["index", "period", "minute", "second", "possession"]
+_NAMED = ["type", "possession_team", "play_pattern", "team", "player", "position"]
+_FLAGS = ["under_pressure", "off_camera", "out", "counterpress"]
+
+
+def _raw_events(spark, d) -> DataFrame:
+    """Web events as raw event records, with a value of its own in every field."""
+    key = F.col("event_id")
+    word = key.cast("string")
+    fields = {
+        "match_id": F.unix_date(F.to_date("ts")).cast("long"),
+        "id": word,
+        "timestamp": F.date_format("ts", "HH:mm:ss"),
+        "location": F.array(key + 0.25, key + 0.75),
+        "duration": F.col("value"),
+        "related_events": F.array(F.concat(F.lit("r"), word), F.lit("last")),
+        **{name: key + 10 + i for i, name in enumerate(_NUMBERS)},
+        **{name: F.struct((key + 20 + i).alias("id"), F.concat(F.lit(name), word).alias("name"))
+           for i, name in enumerate(_NAMED) if name != "type"},
+        "type": F.struct((key + 20).alias("id"), F.col("event_type").alias("name")),
+        **{name: F.when(key % (i + 2) == 0, key % 5 == 0) for i, name in enumerate(_FLAGS)},
+        **{name: F.struct((key + 40 + i).alias("k")) for i, name in enumerate(OPAQUE)},
+    }
+    outcome = F.struct(F.concat(F.lit("out"), word).alias("name"))
+    click, rest = F.col("event_type") == "click", F.col("event_type") != "click"
+    fields["pass"] = F.when(click, F.struct(
+        outcome.alias("outcome"), F.get_json_object("props", "$.k").alias("assisted_shot_id"),
+        (key % 3 == 0).alias("goal_assist"), (key % 4 == 0).alias("cross"), (key + 0.5).alias("length"),
+        F.struct((key + 60).alias("id")).alias("recipient"),
+    ))
+    fields["shot"] = F.when(rest, F.struct(
+        (key / 8).alias("statsbomb_xg"), outcome.alias("outcome"), F.concat(F.lit("foot"), word).alias("body_part"),
+    ))
+    fields["dribble"] = F.when(rest, F.struct(outcome.alias("outcome"), (key % 2 == 0).alias("nutmeg")))
+    return star.table(_utc(spark), d, "events").select(
+        *[c.alias(name) for name, c in fields.items()], key.alias("number")
+    )
+
+
+def _flat_events(read: DataFrame) -> DataFrame:
+    """Every column of the flat table in a form that compares, and fields that no report reads."""
+    out = flat.events(read)
+    inside = {
+        "assisted_shot_id": "pass.assisted_shot_id", "goal_assist": "pass.goal_assist", "crossed": "pass.cross",
+        "pass_outcome": "pass.outcome.name", "xg": "shot.statsbomb_xg", "shot_outcome": "shot.outcome.name",
+        "dribble_outcome": "dribble.outcome.name",
+    }
+    whole = {
+        "pass_length": ("pass_whole", "$.length", "double"), "recipient": ("pass_whole", "$.recipient.id", "long"),
+        "body_part": ("shot_whole", "$.body_part", "string"), "nutmeg": ("dribble_whole", "$.nutmeg", "boolean"),
+        **{name: (name, "$.k", "long") for name in OPAQUE},
+    }
+    picked = {name: F.col(path) for name, path in inside.items()}
+    picked |= {name: F.try_variant_get(column, path, kind) for name, (column, path, kind) in whole.items()}
+    picked |= {"location": F.array_join(F.col("location").cast("array<string>"), " "),
+               "related_events": F.array_join("related_events", " "), "duration": F.round("duration", _DIGITS)}
+    plain = [c for c, kind in out.dtypes if c not in picked and kind != "variant" and not kind.startswith("struct")]
+    return out.select(*plain, *[c.alias(name) for name, c in picked.items()])
 
 
 def _json_events(spark, d):
-    """Web events as raw event records, written as JSON lines, read back and flattened."""
-    root = scratch(_utc(spark), "json-events")
-    star.table(spark, d, "events").select(
-        F.unix_date(F.to_date("ts")).cast("long").alias("match_id"),
-        F.col("event_id").cast("string").alias("id"),
-        F.date_format("ts", "HH:mm:ss").alias("timestamp"),
-        F.minute("ts").cast("long").alias("minute"),
-        F.struct(F.length("event_type").cast("long").alias("id"), F.col("event_type").alias("name")).alias("type"),
-        F.struct("user_id", F.col("user_id").alias("id"), F.lit("user").alias("name")).alias("player"),
-        F.col("value").alias("duration"),
-        (F.col("value") > 10).alias("counterpress"),
-        F.when(F.col("event_type") == "click", F.struct(
-            F.get_json_object("props", "$.k").alias("assisted_shot_id"), F.lit(True).alias("goal_assist")
-        )).alias("pass"),
-        F.when(F.col("event_type") == "error", F.from_json("props", "k long")).alias("duel"),
-    ).write.json(f"{root}/events")
-    read = read_events(spark, f"{root}/events/*.json", multiline=False, mode="FAILFAST")
-    return flat.events(read).select(
-        "match_id", "event_id", "timestamp", "minute", "event_type_id", "event_type_name", "player_id",
-        "player_name", F.round("duration", _DIGITS).alias("duration"), "off_camera", "counterpress",
-        F.col("pass.assisted_shot_id").alias("assisted_shot_id"),
-        F.col("pass.goal_assist").alias("goal_assist"),
-        F.col("pass.outcome.name").alias("outcome_name"),
-        F.try_variant_get("duel", "$.k", "long").alias("duel_k"),
-    )
+    """Event records as JSON lines, read back and flattened."""
+    root = scratch(spark, "json-events")
+    _raw_events(spark, d).drop("number").write.json(f"{root}/events")
+    return _flat_events(read_events(spark, f"{root}/events/*.json", multiline=False, mode="FAILFAST"))
+
+
+def _pretty_events(spark, d):
+    root = scratch(spark, "pretty-events")
+    _pretty(_raw_events(spark, d), "number", f"{root}/events")
+    return _flat_events(read_events(spark, f"{root}/events/*/*", mode="FAILFAST"))
+
+
+def _connector(spark, d):
+    """A result replaced through a connector that takes its place and name as options."""
+    root = scratch(spark, "connector")
+    for _ in range(2):
+        write_curated(_dribbles(spark, d), "dribbles_with_lag", fmt="json", path=root)
+    schema = "team_name long, season_id long, dribbles long, prev_season_dribbles long"
+    return spark.read.schema(schema).json(root)
+
+
+def _late_rows(spark, d):
+    """Events of odd ids come in a second run; those of windows closed by then count for nothing."""
+    root = scratch(_utc(spark), "late-rows")
+    for odd in (0, 1):
+        star.table(spark, d, "events").where(F.col("event_id") % 2 == odd).write.mode("append").parquet(f"{root}/in")
+        stream = read_stream(spark, "parquet", f"{root}/in", star.COLUMNS["events"])
+        out = tumbling_avg(stream.withColumn("timestamp", F.col("ts").cast("timestamp")), "user_id", "value", "avg_value")
+        start_append(out, "late", f"{root}/state", root, available_now=True).awaitTermination()
+    found = spark.read.schema(out.schema).parquet(f"{root}/late").drop("batch_id")
+    return _windows(found, "avg_value")
+
+
+def _mean_so_far(spark, d, kind):
+    """Running means of decimals, and of longs far beyond what their sum could hold."""
+    if kind == "decimal":
+        rows = star.table(spark, d, "orders").select(
+            "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(10,2)").alias("v"))
+        out = running(rows, ["o_orderstatus"], ["o_orderkey"], "v", "avg", None, "mean")
+        return out.select("o_orderkey", "o_orderstatus", (F.col("mean") * 1_000_000).cast("long").alias("millionths"))
+    rows = star.table(spark, d, "events").select("event_id", "event_type", (F.col("event_id") * 10**12).alias("v"))
+    out = running(rows, ["event_type"], ["event_id"], "v", "avg", None, "mean")
+    return out.select("event_id", "event_type", F.round(F.col("mean") / 10**12, _DIGITS).alias("mean"))
 
 
 def _parse_scores(spark, d):
@@ -371,14 +470,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_explode_outer": lambda s, d: _explode_lineups(s, d, outer=True),
     "p4_flatten_events": _json_events,
     "p6_parse": _parse_scores,
+    "s1_json_events_multiline": _pretty_events,
     "s3_json_matches": _json_matches,
+    "s4_json_competitions": _pretty_competitions,
     "s5_json_lineups": _json_lineups,
     "s6_teams": _teams,
     "s10_adhoc_sql": _adhoc_sql,
     "k1_curated": _curated,
+    "k2_connector": _connector,
     "k4_transformed": _transformed,
     "a8_diff_from_overall_mean": _mean_diff,
     "a2_sums_by_segment": _sums_by_segment,
+    "t5_late_rows": _late_rows,
+    "w2_avg_decimal": lambda s, d: _mean_so_far(s, d, "decimal"),
+    "w2_avg_long": lambda s, d: _mean_so_far(s, d, "long"),
     "w3_dense_rank": lambda s, d: _rank_events(s, d, "dense"),
     "w4_lag": _lagged_days,
     "w5_count_last_100": _running_count,
@@ -411,20 +516,55 @@ _MATCHES = """
 """
 _MATCH_SQL = """
     SELECT o_orderkey AS match_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS match_date,
+           'kick' || o_orderkey AS kick_off, o_orderkey + 1 AS home_score, o_orderkey + 2 AS away_score,
            CAST(month(o_orderdate) AS BIGINT) AS match_week,
-           o_orderpriority AS competition_stage_name, o_custkey AS competition_id,
-           CAST(year(o_orderdate) AS BIGINT) AS season_id, o_orderstatus AS home_team_name,
-           o_orderkey AS away_team_id, CAST(NULL AS VARCHAR) AS stadium_name,
+           o_orderkey + 3 AS competition_stage_id, 'stage' || o_orderkey AS competition_stage_name,
+           o_custkey AS competition_id, CAST(year(o_orderdate) AS BIGINT) AS season_id,
+           o_orderkey + 4 AS home_team_id, 'home' || o_orderkey AS home_team_name,
+           o_orderkey + 5 AS away_team_id, 'away' || o_orderkey AS away_team_name,
+           o_orderkey + 6 AS stadium_id, 'stadium' || o_orderkey AS stadium_name,
+           o_orderkey + 7 AS referee_id, 'referee' || o_orderkey AS referee_name,
            o_orderstatus AS data_version
     FROM orders
 """
 _PLAYERS = """
     SELECT o_orderkey AS team_id, o_orderpriority AS team_name, o_custkey AS player_id,
-           o_orderpriority AS player_name, o_orderkey AS jersey_number, o_custkey AS country_id,
-           o_orderstatus AS country_name
+           'player' || o_custkey AS player_name, 'nick' || o_custkey AS player_nickname,
+           o_orderkey + 1 AS jersey_number, o_orderkey + 2 AS country_id, 'country' || o_orderkey AS country_name
     FROM orders, (VALUES (1), (2)) AS twice (copy)
     WHERE o_orderstatus = 'F'
 """
+_COMPETITION_SQL = """
+    SELECT c_custkey AS competition_id, CAST(c_nationkey AS BIGINT) AS season_id, c_name AS competition_name,
+           c_mktsegment AS competition_gender, 'land' || c_custkey AS country_name,
+           CAST(c_nationkey AS VARCHAR) AS season_name
+    FROM customer
+"""
+_EVENT_SQL = f"""
+    SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS match_id,
+           CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%H:%M:%S') AS timestamp,
+           CAST(event_id + 0.25 AS DOUBLE) || ' ' || CAST(event_id + 0.75 AS DOUBLE) AS location,
+           round(value, 6) AS duration, 'r' || event_id || ' last' AS related_events,
+           {', '.join(f'event_id + {10 + i} AS "{name}"' for i, name in enumerate(_NUMBERS))},
+           {', '.join(f"event_id + {20 + i} AS {name}_id, '{name}' || event_id AS {name}_name"
+                      for i, name in enumerate(_NAMED) if name != "type")},
+           event_id + 20 AS event_type_id, event_type AS event_type_name,
+           {', '.join(f'CASE WHEN event_id % {i + 2} = 0 THEN event_id % 5 = 0 END AS "{name}"'
+                      for i, name in enumerate(_FLAGS))},
+           {', '.join(f'event_id + {40 + i} AS "{name}"' for i, name in enumerate(OPAQUE))},
+           CASE WHEN event_type = 'click' THEN json_extract_string(props, '$.k') END AS assisted_shot_id,
+           CASE WHEN event_type = 'click' THEN event_id % 3 = 0 END AS goal_assist,
+           CASE WHEN event_type = 'click' THEN event_id % 4 = 0 END AS crossed,
+           CASE WHEN event_type = 'click' THEN CAST(event_id + 0.5 AS DOUBLE) END AS pass_length,
+           CASE WHEN event_type = 'click' THEN event_id + 60 END AS recipient,
+           CASE WHEN event_type = 'click' THEN 'out' || event_id END AS pass_outcome,
+           CASE WHEN event_type <> 'click' THEN event_id / 8 END AS xg,
+           CASE WHEN event_type <> 'click' THEN 'foot' || event_id END AS body_part,
+           CASE WHEN event_type <> 'click' THEN 'out' || event_id END AS shot_outcome,
+           CASE WHEN event_type <> 'click' THEN 'out' || event_id END AS dribble_outcome,
+           CASE WHEN event_type <> 'click' THEN event_id % 2 = 0 END AS nutmeg
+    FROM events
+"""
 
 
 def _completion_sql(frame: str) -> str:
@@ -574,37 +714,22 @@ _ORACLE: dict[str, str] = {
         SELECT event_id, user_id, event_type, value, c_custkey, c_name, c_nationkey, c_mktsegment
         FROM events LEFT JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'
     """,
-    "p1_flatten_competitions": """
-        SELECT c_custkey AS competition_id, CAST(c_nationkey AS BIGINT) AS season_id,
-               c_name AS competition_name, c_mktsegment AS competition_gender, 'somewhere' AS country_name,
-               CAST(c_nationkey AS VARCHAR) AS season_name
-        FROM customer
-    """,
+    "p1_flatten_competitions": _COMPETITION_SQL,
     "p2_flatten": _MATCH_SQL,
     "p3_explode": _PLAYERS,
     "p3_explode_outer": f"""
         {_PLAYERS} UNION ALL
-        SELECT o_orderkey, o_orderpriority, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderstatus <> 'F'
-    """,
-    "p4_flatten_events": """
-        SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT) AS match_id,
-               CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%H:%M:%S') AS timestamp,
-               minute(ts) AS minute, length(event_type) AS event_type_id, event_type AS event_type_name,
-               user_id AS player_id, 'user' AS player_name, round(value, 6) AS duration,
-               CAST(NULL AS BOOLEAN) AS off_camera, value > 10 AS counterpress,
-               CASE WHEN event_type = 'click' THEN json_extract_string(props, '$.k') END AS assisted_shot_id,
-               CASE WHEN event_type = 'click' THEN true END AS goal_assist,
-               CAST(NULL AS VARCHAR) AS outcome_name,
-               CASE WHEN event_type = 'error'
-                    THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS duel_k
-        FROM events
+        SELECT o_orderkey, o_orderpriority, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderstatus <> 'F'
     """,
+    "p4_flatten_events": _EVENT_SQL,
     "p6_parse": """
         SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
                count(*) AS n
         FROM events GROUP BY 1
     """,
+    "s1_json_events_multiline": _EVENT_SQL,
     "s3_json_matches": _MATCH_SQL,
+    "s4_json_competitions": _COMPETITION_SQL,
     "s5_json_lineups": _PLAYERS,
     "s6_teams": "SELECT s_name AS team_name, CAST(s_nationkey AS VARCHAR) AS country FROM supplier",
     "s10_adhoc_sql": """
@@ -615,6 +740,7 @@ _ORACLE: dict[str, str] = {
         WHERE l_linestatus = 'O' GROUP BY ALL
     """,
     "k1_curated": _DRIBBLE_SQL,
+    "k2_connector": _DRIBBLE_SQL,
     "k4_transformed": """
         SELECT user_id AS player_name, count(*) AS goals, max(event_id) AS last_event
         FROM events WHERE event_type = 'purchase' GROUP BY ALL
@@ -629,6 +755,31 @@ _ORACLE: dict[str, str] = {
         SELECT o_orderstatus, c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 2) AS price
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
     """,
+    "t5_late_rows": """
+        WITH placed AS (SELECT *, time_bucket(INTERVAL '10 minutes', ts) AS start FROM events),
+        bounds AS (
+            SELECT max(ts) FILTER (WHERE event_id % 2 = 0) - INTERVAL '1 minute' AS first_run,
+                   max(ts) - INTERVAL '1 minute' AS second_run FROM events)
+        SELECT user_id, round(avg(value), 6) AS avg_value, strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(start + INTERVAL '10 minutes', '%Y-%m-%d %H:%M:%S') AS window_end
+        FROM placed, bounds
+        WHERE (event_id % 2 = 0 OR start + INTERVAL '10 minutes' > first_run)
+              AND start + INTERVAL '10 minutes' <= second_run
+        GROUP BY start, user_id
+    """,
+    "w2_avg_decimal": """
+        WITH sums AS (
+            SELECT o_orderkey, o_orderstatus, row_number() OVER so_far AS n,
+                   sum(CAST(CAST(o_totalprice AS DECIMAL(10, 2)) * 100 AS BIGINT)) OVER so_far AS cents
+            FROM orders
+            WINDOW so_far AS (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+        SELECT o_orderkey, o_orderstatus, CAST((cents * 20000 + n) // (2 * n) AS BIGINT) AS millionths FROM sums
+    """,
+    "w2_avg_long": """
+        SELECT event_id, event_type, round(avg(event_id) OVER (
+                   PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING), 6) AS mean
+        FROM events
+    """,
     "w3_dense_rank": _places_sql("dense_rank() OVER {}"),
     "w4_lag": """
         WITH days AS (

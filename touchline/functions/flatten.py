@@ -26,15 +26,30 @@ def matches(df: DataFrame) -> DataFrame:
 
 def lineups(df: DataFrame, outer: bool = False) -> DataFrame:
     """One row per listed player. Teams without players vanish, unless ``outer`` keeps them."""
-    unnest = F.explode_outer if outer else F.explode
-    return project(
-        df.select("team_id", "team_name", unnest("lineup").alias("player")), schemas.LINEUP_COLUMNS
-    )
+    players = (F.inline_outer if outer else F.inline)("lineup")
+    return project(df.select("team_id", "team_name", players), schemas.LINEUP_COLUMNS)
+
+
+def _typed(whole: Column, schema: StructType, path: str = "$") -> Column:
+    """The fields of ``schema`` out of a variant; NULL where they are absent or of another kind."""
+    return F.struct(*[
+        (_typed(whole, field.dataType, f"{path}.{field.name}") if isinstance(field.dataType, StructType)
+         else F.try_variant_get(whole, f"{path}.{field.name}", field.dataType.simpleString())).alias(field.name)
+        for field in schema
+    ])
 
 
 def events(df: DataFrame) -> DataFrame:
-    """The columns all events share, plus one struct per kind of event."""
-    return project(df, schemas.EVENT_COLUMNS)
+    """The columns all events share, and those of each kind.
+
+    ``pass``, ``shot`` and ``dribble`` are structs of the fields that reports ask for, which prune and
+    filter in Parquet. Beside them ``pass_whole`` and so on hold all that the raw record had.
+    """
+    structs = {
+        kind: F.when(F.col(f"{kind}_whole").isNotNull(), _typed(F.col(f"{kind}_whole"), schema))
+        for kind, schema in schemas.TYPED.items()
+    }
+    return project(df, schemas.EVENT_COLUMNS).withColumns(structs)
 
 
 def parse_scores(

@@ -63,7 +63,7 @@ PLAYER = _struct(
 )
 LINEUPS = _struct(team_id=_long, team_name=_text, lineup=ArrayType(PLAYER))
 
-# Event kinds no report looks into; kept whole.
+# Event kinds no report looks into; kept whole.
 OPAQUE = [
     "carry",
     "duel",
@@ -86,6 +86,8 @@ PASS = StructType([
 ])
 SHOT = _struct(statsbomb_xg=_double, outcome=_outcome)
 DRIBBLE = _struct(outcome=_outcome)
+# Kinds the reports look into: read whole, with the fields the reports ask for as typed columns beside.
+TYPED = {"pass": PASS, "shot": SHOT, "dribble": DRIBBLE}
 
 EVENTS = StructType([
     StructField("match_id", _long),
@@ -109,12 +111,10 @@ EVENTS = StructType([
     StructField("out", _flag),
     StructField("counterpress", _flag),
     StructField("related_events", ArrayType(_text)),
-    StructField("pass", PASS),
-    StructField("shot", SHOT),
-    StructField("dribble", DRIBBLE),
-    *[StructField(name, VariantType()) for name in OPAQUE],
+    *[StructField(name, VariantType()) for name in (*TYPED, *OPAQUE)],
 ])
 
+# The fields of a score payload.
 SCORES = StructType([
     StructField("match_id", _text),
     StructField("home_team", _text),
@@ -151,12 +151,12 @@ MATCH_COLUMNS = {
 LINEUP_COLUMNS = {
     "team_id": "team_id",
     "team_name": "team_name",
-    "player_id": "player.player_id",
-    "player_name": "player.player_name",
-    "player_nickname": "player.player_nickname",
-    "jersey_number": "player.jersey_number",
-    "country_id": "player.country.id",
-    "country_name": "player.country.name",
+    "player_id": "player_id",
+    "player_name": "player_name",
+    "player_nickname": "player_nickname",
+    "jersey_number": "jersey_number",
+    "country_id": "country.id",
+    "country_name": "country.name",
 }
 EVENT_COLUMNS = {
     "match_id": "match_id",
@@ -186,8 +186,6 @@ EVENT_COLUMNS = {
     "out": "out",
     "counterpress": "counterpress",
     "related_events": "related_events",
-    "pass": "pass",
-    "shot": "shot",
-    "dribble": "dribble",
+    **{f"{name}_whole": name for name in TYPED},
     **{name: name for name in OPAQUE},
 }
