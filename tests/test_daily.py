@@ -3,6 +3,7 @@
 import pytest
 from conftest import rows
 from football import competition, dribble, event, match, passed, shot
+from pyspark.sql import functions as F
 
 from touchline import session
 from touchline.__main__ import main
@@ -64,6 +65,43 @@ def test_transformed_events_keep_every_row_and_prune(spark, raw):
     assert "statsbomb_xg" not in plan  # columns prune to the leaf
 
 
+def test_whole_structs_survive_beside_typed_fields(spark, dump, tmp_path):
+    record = passed("Out", cross=True)
+    record["pass"] |= {"length": 12.5, "recipient": {"id": 7, "name": "Bea"}, "body_part": {"name": "Left Foot"}}
+    dump("events/1.json", [record, event("Pass", **{"pass": None})])
+    daily.transform(spark, str(tmp_path), f"{tmp_path}/silver", ["events"])
+    events = daily.tables_of(spark, f"{tmp_path}/silver", ["events"])["events"]
+    whole = [F.try_variant_get("pass_whole", *x) for x in (("$.length", "double"), ("$.recipient.name", "string"), ("$.body_part.name", "string"))]
+    assert rows(events, "pass.outcome.name", "pass.cross", *whole) == [
+        (None, None, None, None, None), ("Out", True, 12.5, "Bea", "Left Foot"),
+    ]
+    plan = events.where("pass.outcome.name = 'Out'").select("event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(pass.outcome.name,Out)" in plan and "pass_whole" not in plan
+
+
+def test_bad_files_go_to_the_rejects(spark, raw, tmp_path):
+    (tmp_path / "events" / "3.json").write_text('[{"id": "a", "type": {"id": 1, "name": "Pass"}}, {"id": "b"')
+    (tmp_path / "events" / "notes.json").write_text('[{"id": "c", "type": {"id": 1, "name": "Pass"}}]')
+    counts = daily.transform(spark, raw, f"{raw}/silver", ["events"], max_rejects=0.5)
+    assert counts == {"events": {"rows": 14, "rejects": 1, "without_key": 1}}
+    assert daily.tables_of(spark, f"{raw}/silver", ["events"])["events"].count() == 13
+    (reject,) = spark.read.parquet(f"{raw}/silver/rejects/events").collect()
+    assert reject.file.endswith("events/3.json") and '"id": "b"' in reject.text
+    with pytest.raises(daily.TooManyRejects, match="1 of 14"):
+        daily.transform(spark, raw, f"{raw}/silver", ["events"])
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        main(["daily", "--raw", raw, "--silver", f"{raw}/f", "--out", f"{raw}/c", "--mode", "FAILFAST"])
+
+
+def test_daily_run_leaves_lineups_and_teams(spark, raw, dump):
+    player = {"player_id": 1, "player_name": "Ann", "jersey_number": 9, "country": {"id": 3, "name": "Chile"}}
+    dump("lineups/1.json", [{"team_id": 10, "team_name": "Reds", "lineup": [player]}])
+    counts = daily.run_all(spark, raw, f"{raw}/silver", f"{raw}/curated", ["top_goalscorers"])
+    assert counts["lineups"]["rows"] == 1 and counts["events"]["rejects"] == 0
+    assert rows(read_transformed(spark, f"{raw}/silver", "lineups"), "player_name") == [("Ann",)]
+    assert rows(spark.read.parquet(f"{raw}/silver/teams")) == [("Reds", "Nowhere", "The Park")]
+
+
 def test_lineups_zone(spark, dump, tmp_path):
     player = {"player_id": 1, "player_name": "Ann", "jersey_number": 9, "country": {"id": 3, "name": "Chile"}}
     dump("lineups/1.json", [{"team_id": 10, "team_name": "Reds", "lineup": [player]}])

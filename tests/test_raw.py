@@ -74,7 +74,7 @@ def test_event_columns(spark, dump):
     )
     path = dump("events/5.json", [full, shot("Saved", 0.25), passed("Out", cross=True)])
     df = flat.events(read_events(spark, path))
-    assert df.columns == list(schemas.EVENT_COLUMNS)
+    assert df.columns == [*schemas.EVENT_COLUMNS, *schemas.TYPED]
     assert rows(
         df.where("event_id = 'abc'"), "match_id", "index", "possession_team_id", "possession_team_name",
         "play_pattern_name", "position_id", "position_name", "duration", "under_pressure", "out", "counterpress",

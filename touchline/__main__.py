@@ -23,6 +23,8 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--raw", required=True, help="root of the raw zone")
     batch.add_argument("--silver", required=True, help="root of the flat Parquet")
     batch.add_argument("--report", action="append", choices=REPORTS, help="one report; may be repeated")
+    batch.add_argument("--mode", default="PERMISSIVE", choices=["PERMISSIVE", "FAILFAST"], help="FAILFAST stops at bad text")
+    batch.add_argument("--max-rejects", type=float, default=0.01, help="share of bad records beyond which the run fails")
     batch.add_argument("--lines", action="store_true", help="raw files hold one record per line")
 
     live = jobs.add_parser("live", help="a stream of score payloads into three collections")
@@ -44,9 +46,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build(f"touchline {args.job}")
     sink = {"fmt": args.format, **_options(args.option)}
     if args.job == "daily":
-        daily.run_all(
-            spark, args.raw, args.silver, args.out, args.report or tuple(REPORTS), not args.lines, **sink
+        counts = daily.run_all(
+            spark, args.raw, args.silver, args.out, args.report or tuple(REPORTS), not args.lines, args.mode,
+            args.max_rejects, **sink,
         )
+        for name, found in counts.items():
+            print(name, *[f"{key}={n}" for key, n in found.items()])
     else:
         payloads = read_stream(spark, args.source, **_options(args.source_option))
         teams = read_teams(spark, args.teams) if args.teams else None

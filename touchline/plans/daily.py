@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from touchline import functions as flat, schemas
 from touchline.plans.jobs import REPORTS, Tables
 from touchline.sinks import read_transformed, write_curated, write_transformed
 from touchline.sources import LAYOUT, read_competitions, read_events, read_lineups, read_matches
+from touchline.sources.raw import BAD, FILE
 
 # Raw reader, its schema, and the projection to the flat table.
 _ZONES = {
@@ -21,23 +22,75 @@ _ZONES = {
 }
 
 
+# What joins know a record by.
+_KEYS = {"competitions": "competition_id", "matches": "match_id", "lineups": "team_id", "events": "match_id"}
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file fits the pattern, in whatever store it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def teams(matches: DataFrame, competitions: DataFrame) -> DataFrame:
+    """``team_name`` with the ``country`` and ``stadium`` of most of its home matches, for the live job."""
+    lands = competitions.select("competition_id", "season_id", F.col("country_name").alias("country")).distinct()
+    home = matches.select("competition_id", "season_id", F.col("home_team_name").alias("team_name"),
+                          F.col("stadium_name").alias("stadium"))
+    found = home.where("team_name IS NOT NULL").join(lands, ["competition_id", "season_id"], "left")
+    return found.groupBy("team_name").agg(
+        F.mode("country", True).alias("country"), F.mode("stadium", True).alias("stadium")
+    )
+
+
 def flat_schema(spark: SparkSession, name: str) -> StructType:
     _, schema, flatten = _ZONES[name]
     return flatten(spark.createDataFrame([], schema)).schema
 
 
-def flat_from_raw(spark: SparkSession, raw: str, name: str, multiline: bool = True) -> DataFrame:
+def flat_from_raw(
+    spark: SparkSession, raw: str, name: str, multiline: bool = True, mode: str = "PERMISSIVE"
+) -> DataFrame:
+    """The readable records of a raw table, flat."""
     read, _, flatten = _ZONES[name]
-    return flatten(read(spark, f"{raw}/{LAYOUT[name]}", multiline))
+    return flatten(read(spark, f"{raw}/{LAYOUT[name]}", multiline, mode).where(F.col(BAD).isNull()))
+
+
+class TooManyRejects(RuntimeError):
+    """More of a raw table could not be read than the run allows."""
 
 
 def transform(
     spark: SparkSession, raw: str, silver: str, names: Iterable[str] = ("competitions", "matches", "events"),
-    multiline: bool = True,
-) -> None:
-    """Read each raw table once and write it flat."""
+    multiline: bool = True, mode: str = "PERMISSIVE", max_rejects: float = 0.01,
+) -> dict[str, dict[str, int]]:
+    """Read each raw table once, write it flat, and count its ``rows``, ``rejects`` and those ``without_key``.
+
+    What cannot be read goes to ``silver/rejects/<name>`` with the name of its file; beyond a share of
+    ``max_rejects`` of the records the run fails, after that. A record without a key is kept, but no join
+    finds it. The counts come with the write; only bad records cost a second reading.
+    """
+    counts = {}
     for name in names:
-        write_transformed(flat_from_raw(spark, raw, name, multiline), silver, name)
+        read, _, flatten = _ZONES[name]
+        found = read(spark, f"{raw}/{LAYOUT[name]}", multiline, mode)
+        good, seen = F.col(BAD).isNull(), Observation()
+        observed = found.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count(BAD).alias("rejects"),
+            F.count_if(good & F.col(_KEYS[name]).isNull()).alias("without_key"),
+        )
+        write_transformed(flatten(observed.where(good)), silver, name)
+        counts[name] = seen.get
+        rejects = spark.createDataFrame([], "file string, text string")
+        if counts[name]["rejects"]:
+            # Spark reads no raw file for the sake of bad text alone, hence the key, which is NULL here.
+            text = F.coalesce(F.col(BAD), F.col(_KEYS[name]).cast("string"))
+            rejects = found.where(~good).select(F.col(FILE).alias("file"), text.alias("text"))
+        rejects.write.mode("overwrite").parquet(f"{silver}/rejects/{name}")
+        if counts[name]["rejects"] > max_rejects * counts[name]["rows"]:
+            raise TooManyRejects(f"{counts[name]['rejects']} of {counts[name]['rows']} records of {name}; see {silver}/rejects/{name}")
+    return counts
 
 
 def tables_of(spark: SparkSession, silver: str, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -51,10 +104,18 @@ def run_all(
     curated: str | None = None,
     names: Iterable[str] = tuple(REPORTS),
     multiline: bool = True,
+    mode: str = "PERMISSIVE",
+    max_rejects: float = 0.01,
     **sink: str,
-) -> None:
-    """The whole daily run. ``curated`` and ``sink`` go to ``write_curated``."""
-    transform(spark, raw, silver, multiline=multiline)
+) -> dict[str, dict[str, int]]:
+    """The whole daily run. ``curated`` and ``sink`` go to ``write_curated``; the counts are ``transform``'s.
+
+    Lineups are written flat too, where there are any, and the teams of all matches.
+    """
+    found = [name for name in _ZONES if name != "lineups" or exists(spark, f"{raw}/{LAYOUT[name]}")]
+    counts = transform(spark, raw, silver, found, multiline, mode, max_rejects)
     flat_tables = Tables(**tables_of(spark, silver, Tables._fields))
     for name in names:
         write_curated(REPORTS[name](flat_tables), name, curated, **sink)
+    teams(flat_tables.matches, flat_tables.competitions).write.mode("overwrite").parquet(f"{silver}/teams")
+    return counts

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from touchline import schemas
 
@@ -14,14 +14,22 @@ LAYOUT = {
     "lineups": "lineups/*.json",
     "events": "events/*.json",
 }
+# The text of a record that could not be read, NULL for others, and the file that a record is from.
+BAD, FILE = "_corrupt_record", "_file"
 # An events file is named by the match it belongs to.
-_MATCH_FILE = r"^(\d+)\.json"
+_MATCH_FILE = r"/(\d+)\.json[^/]*$"
 
 
 def _json(
     spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool, mode: str
 ) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=multiline, mode=mode)
+    """Records with ``BAD`` and ``FILE`` beside their own columns.
+
+    Of a multi-line file that is cut short nothing can be read: its whole text is one bad record.
+    """
+    fields = StructType([*schema.fields, StructField(BAD, StringType())])
+    read = spark.read.schema(fields).json(path, multiLine=multiline, mode=mode, columnNameOfCorruptRecord=BAD)
+    return read.withColumn(FILE, F.col("_metadata.file_path"))
 
 
 def read_competitions(
@@ -52,7 +60,7 @@ def read_events(
     Spark's: ``FAILFAST`` stops at malformed text.
     """
     raw = _json(spark, path, schemas.EVENTS, multiline, mode)
-    from_name = F.regexp_extract("_metadata.file_name", _MATCH_FILE, 1).try_cast("long")
+    from_name = F.regexp_extract(FILE, _MATCH_FILE, 1).try_cast("long")
     return raw.withColumn("match_id", F.coalesce("match_id", from_name))
 
 
