@@ -439,6 +439,27 @@ def _lagged_days(spark, d):
     )
 
 
+def _sides(spark, d) -> DataFrame:
+    """Line items as events of ten sides, each in a possession of one of them."""
+    return star.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("match_id"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("index"),
+        (F.col("l_suppkey") % 10).alias("team_name"), (F.col("l_partkey") % 10).alias("possession_team_name"),
+        (F.col("l_linenumber") % 2).alias("possession"), F.col("l_quantity").alias("duration"),
+        (F.col("l_linestatus") == "F").alias("counterpress"),
+    )
+
+
+def _possession(spark, d):
+    out = jobs.possession_vs_league(_sides(spark, d))
+    return _plain(out, "team_avg_duration", "league_avg_duration", "diff_from_league_avg")
+
+
+def _turnovers(spark, d):
+    out = jobs.counterpress_turnovers(_sides(spark, d), star.matches(spark, d, placed=False))
+    return _plain(out, "rolling_avg_turnovers")
+
+
 def _sums_by_segment(spark, d):
     orders = star.table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
     out = sum_through(
@@ -492,6 +513,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v_running_from_start": lambda s, d: _pass_completion(s, d, n=None),
     "v_running_sum_from_start": _running_sum,
     "v_sum_last_11": lambda s, d: _assists(s, d, fn="sum", n=11),
+    "v_counterpress_turnover": _turnovers,
+    "v_possession_duration": _possession,
     "v_percentile_ascending": lambda s, d: _conversion(s, d, ascending=True),
     "v_top3_dense": lambda s, d: _xg_rank(s, d, top=3),
     "v_top5_rank": lambda s, d: _cross_rank(s, d, top=5),
@@ -804,6 +827,31 @@ _ORACLE: dict[str, str] = {
         FROM events
     """,
     "v_sum_last_11": _assist_sql("sum(1)", 10),
+    "v_counterpress_turnover": """
+        WITH sides AS (
+            SELECT l_orderkey, l_suppkey % 10 AS team_name, l_partkey % 10 AS holder, l_linestatus = 'F' AS counterpress,
+                   lead(l_partkey % 10) OVER (PARTITION BY l_orderkey
+                       ORDER BY l_linenumber, l_partkey, l_suppkey) AS next_holder
+            FROM lineitem),
+        counts AS (
+            SELECT l_orderkey, team_name, count(*) AS turnovers FROM sides
+            WHERE counterpress AND holder <> team_name AND next_holder = team_name GROUP BY ALL)
+        SELECT team_name, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS match_date, turnovers,
+               round(avg(turnovers) OVER (PARTITION BY team_name ORDER BY CAST(o_orderdate AS DATE), o_orderkey
+                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_avg_turnovers
+        FROM counts JOIN orders ON l_orderkey = o_orderkey
+    """,
+    "v_possession_duration": """
+        WITH lasted AS (
+            SELECT l_orderkey, l_linenumber % 2 AS possession, l_partkey % 10 AS possession_team_name,
+                   sum(l_quantity) AS lasted
+            FROM lineitem GROUP BY ALL),
+        means AS (SELECT possession_team_name, avg(lasted) AS mean FROM lasted GROUP BY ALL)
+        SELECT possession_team_name, round(mean, 6) AS team_avg_duration,
+               round(avg(mean) OVER (), 6) AS league_avg_duration,
+               round(mean - avg(mean) OVER (), 6) AS diff_from_league_avg
+        FROM means
+    """,
     "v_percentile_ascending": _conversion_sql("ASC"),
     "v_top3_dense": f"{_XG_SQL} WHERE rank_in_comp <= 3",
     "v_top5_rank": f"{_CROSS_SQL} WHERE rank_in_season <= 5",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.functions import flag, share
 from touchline.operators import (
@@ -179,6 +179,37 @@ def duration_vs_league(events: DataFrame, team: str = "team_name") -> DataFrame:
     return diff_from_mean(means, "team_avg_duration", "league_avg_duration", "diff_from_league_avg")
 
 
+def possession_vs_league(events: DataFrame, team: str = "possession_team_name") -> DataFrame:
+    """Mean duration of a possession by team, against the mean of those means.
+
+    A possession lasts as long as its events together, those without a duration counting as none.
+    """
+    each = events.where(F.col("duration").isNotNull()).groupBy("match_id", "possession", team).agg(
+        F.sum("duration").alias("lasted")
+    )
+    means = mean_by(each, [team], "lasted", "team_avg_duration")
+    return diff_from_mean(means, "team_avg_duration", "league_avg_duration", "diff_from_league_avg")
+
+
+def counterpress_turnovers(
+    events: DataFrame, matches: DataFrame, team: str = "team_name", holder: str = "possession_team_name",
+    order: str = "index", n: int | None = 5,
+) -> DataFrame:
+    """Counter-pressing events that win the ball, by team and match, and their mean over such matches.
+
+    The ball is won where the other side holds it and the next event of the match belongs to a
+    possession of the pressing team. A match has no more events than it lasts, so a plain window looks
+    ahead.
+    """
+    ahead = F.lead(holder).over(Window.partitionBy("match_id").orderBy(order))
+    won = F.col("counterpress") & (F.col(holder) != F.col(team)) & (F.col("_next_holder") == F.col(team))
+    seen = events.select("match_id", team, holder, order, "counterpress").withColumn("_next_holder", ahead)
+    counts = count_by(seen, ["match_id", team], "turnovers", where=won)
+    dated = with_match(counts, matches, ["match_date"])
+    means = running(dated, [team], ["match_date", "match_id"], "turnovers", "avg", n, "rolling_avg_turnovers")
+    return means.select(team, "match_date", "turnovers", "rolling_avg_turnovers")
+
+
 def cross_rank(
     events: DataFrame,
     matches: DataFrame,
