@@ -6,7 +6,7 @@ import argparse
 
 from touchline.plans import daily
 from touchline.plans.jobs import REPORTS
-from touchline.session import build
+from touchline.session import LARGE_STATE, build
 from touchline.sources import read_stream, read_teams
 from touchline.streaming import run_all
 
@@ -43,7 +43,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build(f"touchline {args.job}")
+    # Open windows of a live job may outgrow the heap.
+    spark = build(f"touchline {args.job}", **(LARGE_STATE if args.job == "live" else {}))
     sink = {"fmt": args.format, **_options(args.option)}
     if args.job == "daily":
         counts = daily.run_all(

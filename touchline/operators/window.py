@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DecimalType
@@ -61,17 +62,31 @@ def _running_last(
     seen = spread(rows).withColumn(name, windowed).withColumn("_head", at_head)
     settled = attach(seen, spans.withColumn("_spans", F.lit(True)), by).where("_spans IS NULL OR NOT _head")
     # Where a group goes on from chunk to chunk, its first n-1 rows of a chunk look back over the
-    # border. What they can see are the first and last n-1 rows of each chunk, which are adjacent in
-    # the sequence of border rows too. Those are at most 4(n-1) per chunk.
-    border = (
-        spread(attach(rows, spans, by, "inner"))
-        .withColumn("_head", at_head)
-        .withColumn("_tail", at_tail)
-        .where("_head OR _tail")
+    # border. What they can see are the last rows of the chunks before, as far back as n-1 rows reach;
+    # those are handed on to the chunk that needs them, so that no task sees more borders than its own.
+    border = spread(attach(rows, spans, by, "inner")).withColumn("_head", at_head).withColumn("_tail", at_tail)
+    heads = border.where("_head").withColumn("_target", F.col(CHUNK))
+    tails = attach(border.where("_tail"), _seen_from(rows, spans, by, n), by, "inner").withColumn("_head", F.lit(False))
+    across = Window.partitionBy(*by, "_target").orderBy(*order).rowsBetween(1 - n, 0)
+    mended = heads.unionByName(tails).withColumn(name, aggregate.over(across)).where("_head")
+    return settled.drop("_spans").unionByName(mended.drop("_tail", "_target")).drop(CHUNK, "_head")
+
+
+def _seen_from(rows: DataFrame, spans: DataFrame, by: Sequence[str], n: int) -> DataFrame:
+    """For each chunk of a spanning group the later ones (``_target``) whose first row looks back into it.
+
+    One row per chunk and, where chunks hold fewer than n-1 rows of the group, a few more.
+    """
+    so_far = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = attach(rows, spans, by, "inner").groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_size"))
+    ends = sizes.withColumn("_end", F.sum("_size").over(so_far))
+    later = ends.select(
+        *[F.col(c).alias(f"_later_{c}") for c in by], F.col(CHUNK).alias("_target"),
+        (F.col("_end") - F.col("_size")).alias("_start"),
     )
-    across = Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - n, 0)
-    mended = border.withColumn(name, aggregate.over(across)).where("_head")
-    return settled.drop("_spans").unionByName(mended.drop("_tail")).drop(CHUNK, "_head")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_later_{c}")) for c in by])
+    reaches = (F.col(CHUNK) < F.col("_target")) & (F.col("_end") > F.col("_start") - (n - 1))
+    return ends.join(F.broadcast(later), same & reaches).select(*by, CHUNK, "_target")
 
 
 def _running_from_start(

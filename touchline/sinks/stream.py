@@ -20,17 +20,19 @@ def start_append(
 
     After a failure Spark runs the last micro-batch again under the same number. Below a ``root``
     each batch owns the folder ``root/name/batch_id=<n>`` and overwrites it, so a repeat changes
-    nothing. Without a ``root`` the connector ``fmt`` appends, and a repeat is the connector's to
-    handle. Offsets and window state live in ``checkpoint/name``.
+    nothing. Without a ``root`` the connector ``fmt`` appends and gets the number as its option
+    ``batch_id``; a repeat is the connector's to handle by it. Offsets and window state live in ``checkpoint/name``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Small batches end in few files, however many partitions the state has.
+        batch = batch.hint("rebalance")
         if root is not None:
             writer = batch.write.format(fmt).mode("overwrite").options(**options)
             writer.save(f"{root}/{name}/batch_id={batch_id}")
         else:
             writer = batch.write.format(fmt).mode("append")
-            writer.options(**{"collection": name, **options}).save()
+            writer.options(**{"collection": name, "batch_id": str(batch_id), **options}).save()
 
     query = (
         df.writeStream.queryName(name)
