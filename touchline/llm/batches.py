@@ -15,6 +15,7 @@ LETTERS = 1 << 20
 """Rows, and characters beyond the first text, handed to a function at once."""
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -25,6 +26,12 @@ def reachable(spark: SparkSession) -> None:
         path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
 
 
+def _short_batches(spark: SparkSession) -> None:
+    """Batches of 1,000 rows where the session has Spark's default of 10,000, which for long texts is much."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
+
+
 def pieces(texts: list) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of at most ``ROWS`` rows and ``LETTERS`` characters, or of one text."""
     at = size = 0
@@ -53,6 +60,7 @@ def add_columns(
     rows (``None`` where null) and returns an Arrow array for each new column. Columns of ``df`` that
     clash with a new name give way to it.
     """
+    _short_batches(df.sparkSession)
     kept = without(df, fields)
     position = kept.columns.index(text)
     added = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields.items()))

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from touchline.llm.batches import add_columns
 
 BLANK = "▁"
-KNOWN_WORDS = 1 << 18
-KNOWN_PAIRS = 1 << 20
+KNOWN_WORDS = 1 << 17
+KNOWN_PAIRS = 1 << 18
 LONG_WORD = 64
 """Characters beyond which a word's ids are not remembered."""
 
