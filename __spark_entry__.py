@@ -22,7 +22,7 @@ from touchline.sinks import (
 from touchline.sources import (
     read_competitions, read_events, read_lineups, read_matches, read_stream, read_teams, register_views, star,
 )
-from touchline.streaming import attach_player, enrich, high_scoring, team_form, tumbling_avg
+from touchline.streaming import attach_player, enrich, high_scoring, run_all, team_form, tumbling_avg
 
 # The training-data queries are there when their subpackage and the pipeline are.
 try:
@@ -364,12 +364,42 @@ def _mean_so_far(spark, d, kind):
     return out.select("event_id", "event_type", F.round(F.col("mean") / 10**12, _DIGITS).alias("mean"))
 
 
+def _payloads(spark, d) -> DataFrame:
+    """Web events as the JSON text of scores, a value of its own in every field."""
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    user = F.col("user_id").cast("string")
+    return star.table(_utc(spark), d, "events").select("event_id", F.to_json(F.struct(
+        user.alias("match_id"), F.concat(F.lit("home"), user).alias("home_team"),
+        F.concat(F.lit("away"), user).alias("away_team"), k.alias("home_score"), (k % 7).alias("away_score"),
+        F.minute("ts").alias("minute"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+    )).alias("value"))
+
+
 def _parse_scores(spark, d):
-    """The JSON text of web events; every seventh payload is cut short and parses to NULL."""
-    text = F.when(F.col("event_id") % 7 == 0, F.expr("left(props, 3)")).otherwise(F.col("props"))
-    payloads = star.table(spark, d, "events").select(text.cast("binary").alias("value"))
-    parsed = flat.parse_scores(payloads, schema="k int")
-    return parsed.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    """Score payloads; every seventh is cut short and parses to NULLs."""
+    text = F.when(F.col("event_id") % 7 == 0, F.expr("left(value, 3)")).otherwise(F.col("value"))
+    parsed = flat.parse_scores(_payloads(spark, d).select(text.cast("binary").alias("value")))
+    return parsed.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _live_job(spark, d):
+    """The three collections of the live job over score payloads, side by side."""
+    root = scratch(spark, "live-job")
+    _payloads(spark, d).select("value").write.text(f"{root}/feed")
+    run_all(read_stream(spark, "text", f"{root}/feed"), f"{root}/state", root=f"{root}/out", available_now=True)
+    columns = {
+        "avg_goals_per_10min": ("home_team", "avg_home_goals", F.lit(None)),
+        "high_scoring_alerts": ("match_id", "total_goals", F.lit(None)),
+        "team_form_30min": ("home_team", "goals_scored", F.col("goals_conceded")),
+    }
+    found = [
+        spark.read.parquet(f"{root}/out/{name}").select(
+            F.lit(name).alias("collection"), F.col(who).alias("who"), "window",
+            F.col(first).cast("double").alias("first"), second.cast("double").alias("second"),
+        )
+        for name, (who, first, second) in columns.items()
+    ]
+    return _windows(found[0].unionByName(found[1]).unionByName(found[2]), "first", "second")
 
 
 def _adhoc_sql(spark, d):
@@ -503,6 +533,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a8_diff_from_overall_mean": _mean_diff,
     "a2_sums_by_segment": _sums_by_segment,
     "t5_late_rows": _late_rows,
+    "t7_live_job": _live_job,
     "w2_avg_decimal": lambda s, d: _mean_so_far(s, d, "decimal"),
     "w2_avg_long": lambda s, d: _mean_so_far(s, d, "long"),
     "w3_dense_rank": lambda s, d: _rank_events(s, d, "dense"),
@@ -746,9 +777,14 @@ _ORACLE: dict[str, str] = {
     """,
     "p4_flatten_events": _EVENT_SQL,
     "p6_parse": """
-        SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
-               count(*) AS n
-        FROM events GROUP BY 1
+        WITH scores AS (
+            SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 7 <> 0 AS whole FROM events)
+        SELECT CASE WHEN whole THEN CAST(user_id AS VARCHAR) END AS match_id,
+               CASE WHEN whole THEN 'home' || user_id END AS home_team, CASE WHEN whole THEN 'away' || user_id END AS away_team,
+               CASE WHEN whole THEN k END AS home_score, CASE WHEN whole THEN k % 7 END AS away_score,
+               CASE WHEN whole THEN CAST(minute(ts) AS INTEGER) END AS minute,
+               CASE WHEN whole THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS timestamp
+        FROM scores
     """,
     "s1_json_events_multiline": _EVENT_SQL,
     "s3_json_matches": _MATCH_SQL,
@@ -778,6 +814,16 @@ _ORACLE: dict[str, str] = {
         SELECT o_orderstatus, c_mktsegment, count(*) AS orders, round(sum(o_totalprice), 2) AS price
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
     """,
+    "t7_live_job": f"""
+        SELECT 'avg_goals_per_10min' AS collection, 'home' || user_id AS who, first, CAST(NULL AS DOUBLE) AS second,
+               window_start, window_end FROM ({_window_sql(10, 10, "round(avg(k), 6) AS first")})
+        UNION ALL
+        SELECT 'high_scoring_alerts', CAST(user_id AS VARCHAR), first, NULL, window_start, window_end
+        FROM ({_window_sql(5, 1, "CAST(sum(k) + sum(k % 7) AS DOUBLE) AS first", "HAVING sum(k) + sum(k % 7) > 4")})
+        UNION ALL
+        SELECT 'team_form_30min', 'home' || user_id, first, second, window_start, window_end
+        FROM ({_window_sql(30, 5, "CAST(sum(k) AS DOUBLE) AS first, CAST(sum(k % 7) AS DOUBLE) AS second")})
+    """,
     "t5_late_rows": """
         WITH placed AS (SELECT *, time_bucket(INTERVAL '10 minutes', ts) AS start FROM events),
         bounds AS (
