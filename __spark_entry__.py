@@ -356,7 +356,7 @@ def _mean_so_far(spark, d, kind):
     """Running means of decimals, and of longs far beyond what their sum could hold."""
     if kind == "decimal":
         rows = star.table(spark, d, "orders").select(
-            "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(10,2)").alias("v"))
+            "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(12,2)").alias("v"))
         out = running(rows, ["o_orderstatus"], ["o_orderkey"], "v", "avg", None, "mean")
         return out.select("o_orderkey", "o_orderstatus", (F.col("mean") * 1_000_000).cast("long").alias("millionths"))
     rows = star.table(spark, d, "events").select("event_id", "event_type", (F.col("event_id") * 10**12).alias("v"))
@@ -839,7 +839,7 @@ _ORACLE: dict[str, str] = {
     "w2_avg_decimal": """
         WITH sums AS (
             SELECT o_orderkey, o_orderstatus, row_number() OVER so_far AS n,
-                   sum(CAST(CAST(o_totalprice AS DECIMAL(10, 2)) * 100 AS BIGINT)) OVER so_far AS cents
+                   sum(CAST(CAST(o_totalprice AS DECIMAL(12, 2)) * 100 AS BIGINT)) OVER so_far AS cents
             FROM orders
             WINDOW so_far AS (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
         SELECT o_orderkey, o_orderstatus, CAST((cents * 20000 + n) // (2 * n) AS BIGINT) AS millionths FROM sums

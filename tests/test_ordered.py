@@ -83,6 +83,7 @@ def test_only_large_groups_are_taken_apart(spark, many_chunks):
 
 # Large longs, whose sum leaves 64 bits while their mean doesn't.
 _TYPES = {"int": "int(v)", "long": "bigint(v) * 10000000000000000", "decimal": "cast(v / 4 as decimal(10, 2))",
+          "long decimal": "cast(v / 4 as decimal(14, 2))",
           "float": "float(v / 4)", "double": "v / 4"}
 
 

@@ -12,6 +12,8 @@ from touchline.functions.rates import change, share
 from touchline.operators.ordered import CHUNK, attach, by_size, spanning, split, spread
 
 _AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count}
+# Fixed value: decimal digits that a double holds for certain.
+_DOUBLE_DIGITS = 15
 _RANKS = {"rank": F.rank, "dense": F.dense_rank, "percent": F.percent_rank}
 
 
@@ -92,8 +94,16 @@ def _seen_from(rows: DataFrame, spans: DataFrame, by: Sequence[str], n: int) ->
 def _running_from_start(
     rows: DataFrame, by: Sequence[str], order: Sequence[str], operand: Column, fn: str, name: str
 ) -> DataFrame:
-    if fn == "avg" and not isinstance(rows.select(operand.alias("v")).schema["v"].dataType, DecimalType):
-        operand = operand.cast("double")  # as Spark's mean adds up all but decimals; large integers can't overflow
+    scale = 1
+    if fn == "avg":
+        # Spark's mean adds up doubles, of which large integers can't overflow; decimals it adds up as such
+        # where they are long, and as the doubles of their digits where those fit.
+        kind = rows.select(operand.alias("v")).schema["v"].dataType
+        if not isinstance(kind, DecimalType):
+            operand = operand.cast("double")
+        elif kind.precision + 4 <= _DOUBLE_DIGITS:
+            scale = 10 ** kind.scale
+            operand = (operand * scale).cast("double")
     so_far = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
@@ -117,7 +127,7 @@ def _running_from_start(
     count = F.col("_n") + F.coalesce("_n_before", F.lit(0))
     # A sum over no values at all is NULL, not 0.
     total = F.coalesce(F.col("_sum") + F.col("_sum_before"), "_sum", "_sum_before")
-    result = {"count": count, "sum": total, "avg": F.try_divide(total, count)}[fn]
+    result = {"count": count, "sum": total, "avg": F.try_divide(total, count) / scale if scale > 1 else F.try_divide(total, count)}[fn]
     return seen.withColumn(name, result).drop(CHUNK, "_sum", "_n", "_sum_before", "_n_before")
 
 
