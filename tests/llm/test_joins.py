@@ -104,6 +104,22 @@ def test_regions_keep_recall():
     assert near_texts.SLACK > 3 * math.sqrt(0.85 * 0.15 / near_texts.HASHES)
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 90])
+def test_forests_keep_recall_at_every_percentage(percent):
+    trees, depth = near_texts.forest(percent)
+    assert trees * depth <= near_texts.HASHES
+    assert 1 - (1 - (percent / 100) ** depth) ** trees > 0.9999
+
+
+@pytest.mark.parametrize("crowd", [2048, 6])
+def test_texts_equal_brute_force_at_80(spark, edited, crowd):
+    docs = spark.createDataFrame(edited, "doc_id long, text string")
+    roots, _ = _brute(edited, 80)
+    assert roots != _brute(edited)[0]
+    found = near_texts.near_duplicates(docs, 80, crowd=crowd).collect()
+    assert {r.doc_id: r.component_id for r in found} == roots
+
+
 @pytest.mark.parametrize("links", [
     [(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 300)], [(i, 1000 + i % 7) for i in range(300)],
     [(3, 3), (1, 2), (2, 1), (1, 2)], [],

@@ -242,6 +242,15 @@ def test_pipeline(spark):
     assert last.count() == len(third) and last.where("NOT round_trip").count() == 0
 
 
+def test_near_duplicate_stage_links_at_80(spark):
+    words = [f"w{i}" for i in range(104)]
+    texts = [words, words[:90] + ["x"] * 1 + words[91:], words[:60] + ["y", "z"] + words[62:98], words[50:] + words[:50][::-1]]
+    sets = [set(s.tolist()) for s in near_texts.shingles([" ".join(t) for t in texts])]
+    assert 80 <= 100 * len(sets[0] & sets[2]) / len(sets[0] | sets[2]) < 85
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()) == [0, 3]
+
+
 def test_pipeline_without_documents_or_labels(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:

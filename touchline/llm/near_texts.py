@@ -1,7 +1,7 @@
 """Near-duplicate texts by an LSH forest over MinHash signatures, confirmed on full shingle sets.
 
-Each tree sorts the distinct sets by its own order of the signature. Sets that share the first
-``DEPTH`` values of an order are a region, where they lie in order of their longest common prefixes; a
+Each tree sorts the distinct sets by its own order of the signature. Sets that share the first few
+values of an order (``forest`` says how many) are a region, where they lie in order of their longest common prefixes; a
 crowded region is cut deeper, as far as it needs. In a region every pair is weighed by its signatures, and
 each set proposes the best of those before it. What the texts confirm is joined into components; then all
 pairs that a region holds across components are weighed and confirmed too, in blocks where it is crowded,
@@ -11,6 +11,7 @@ so neither the depth of a region nor its proposals lose a link.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,9 @@ from touchline.session import pin
 
 SHINGLE = 5
 HASHES = 128
-TREES = 16
-DEPTH = 5
-"""A pair of similarity 0.85 shares a region of some tree with probability 0.9999."""
+LEAST_TREES, MOST_TREES = 16, 18
+RECALL = 0.9999
+"""Probability, at least, that a pair of just the linking similarity shares a region of some tree."""
 DEEPEST = 40
 CROWD = 2048
 """Sets in a region, or in a block of a crowded one, that are weighed at once."""
@@ -33,6 +34,22 @@ SLACK = 0.11
 """How far an estimate may lie below the similarity; more than three standard deviations."""
 BROADCAST_ROWS = 500_000
 
+
+
+@cache
+def forest(percent: int) -> tuple[int, int]:
+    """Trees, and values that the sets of a region share, for links at ``percent``: 16 and 5 at 85, 18 and 4 at 80.
+
+    The deepest regions for which ``MOST_TREES`` keep ``RECALL``; at a depth of 1 as many trees as that takes.
+    """
+    for depth in range(HASHES // MOST_TREES, 0, -1):
+        for trees in range(LEAST_TREES, (MOST_TREES if depth > 1 else HASHES) + 1):
+            if 1 - (1 - (percent / 100) ** depth) ** trees >= RECALL:
+                return trees, depth
+    raise ValueError(f"{HASHES} hashes are too few for links at {percent} percent")
+
+
+TREES, DEPTH = forest(85)
 _rng = np.random.default_rng(20)
 _TIMES = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,30 +111,31 @@ def _described(docs: DataFrame, text: str) -> DataFrame:
     return add_columns(docs, text, {"n": "long", "cid": "long", "sig": "binary"}, begin).drop(text)
 
 
-def _prefix(tree: Column, depth: int) -> Column:
-    """The region of a set in a tree: a tree's order is the signature turned by ``HASHES / TREES`` a tree."""
-    turned = F.substring(F.concat("sig", "sig"), tree * (HASHES // TREES) + 1, F.lit(depth))
+def _prefix(tree: Column, depth: int, trees: int) -> Column:
+    """The region of a set in a tree: a tree's order is the signature turned by ``HASHES / trees`` a tree."""
+    turned = F.substring(F.concat("sig", "sig"), tree * (HASHES // trees) + 1, F.lit(depth))
     return F.xxhash64(tree, F.lit(depth), turned)
 
 
-def regions(classes: DataFrame, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
+def regions(classes: DataFrame, percent: int, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
     """``region``, ``tree`` and ``cid`` of every set that shares one: those of bounded size, and the crowded ones.
 
-    Crowded regions, with more than ``crowd`` sets at ``DEPTH``, appear whole in the second; in the first
+    Crowded regions, with more than ``crowd`` sets at the forest's depth, appear whole in the second; in the first
     they are cut deeper until each part is small, or, where whole signatures are alike, by hash.
     """
-    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows = classes.select("cid", "sig", trees)
-    keyed = rows.select(_prefix(F.col("tree"), DEPTH).alias("region"), "cid", "tree")
+    trees, depth = forest(percent)
+    every = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    rows = classes.select("cid", "sig", every)
+    keyed = rows.select(_prefix(F.col("tree"), depth, trees).alias("region"), "cid", "tree")
     counts = pin(keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"))
     small = keyed.join(counts.where(F.col("size") <= crowd).select("region"), "region").select("region", "tree", "cid")
     crowded = keyed.join(counts.where(F.col("size") > crowd), "region")
-    rest, depth = crowded.select("cid", "tree"), DEPTH
+    rest = crowded.select("cid", "tree")
     whole = crowded.select("region", "tree", "cid")
     while counts.where(F.col("size") > crowd).limit(1).count():
         depth = min(2 * depth, DEEPEST)
         deeper = pin(rest.join(classes.select("cid", "sig"), "cid").select(
-            _prefix(F.col("tree"), depth).alias("region"), "cid", "tree"
+            _prefix(F.col("tree"), depth, trees).alias("region"), "cid", "tree"
         ))
         counts = pin(deeper.groupBy("region").agg(F.count("*").alias("size")).where("size > 1"))
         part = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / crowd)) if depth == DEEPEST else F.lit(0)
@@ -183,9 +201,12 @@ def _links_across(left: _Side, right: _Side, percent: int):
     i, j = np.nonzero(ok & (left.comp[:, None] != right.comp[None, :]) & (left.cid[:, None] < right.cid[None, :])
                       if left is right else ok & (left.comp[:, None] != right.comp[None, :]))
     mine = np.zeros(len(i), bool)
+    trees, depth = forest(percent)
+    turn = HASHES // trees
     for a in range(0, len(i), 1 << 14):
         part = slice(a, a + (1 << 14))
-        same = (left.sig[i[part]] == right.sig[j[part]]).reshape(-1, TREES, HASHES // TREES)[:, :, :DEPTH].all(axis=2)
+        same = (left.sig[i[part], :trees * turn] == right.sig[j[part], :trees * turn])
+        same = same.reshape(-1, trees, turn)[:, :, :depth].all(axis=2)
         mine[part] = same.argmax(axis=1) == left.tree
     i, j = i[mine], j[mine]
     order = np.argsort(-likely[i, j], kind="stable")
@@ -356,7 +377,7 @@ def near_duplicates(
     # Equal sets have equal signatures, so the group holds one number only.
     sets = found.where("n > 0").groupBy("cid", "n", "sig").agg(F.min("id").alias("rep"), F.count("*").alias("times"))
     classes = pin(sets)
-    few, crowded = regions(classes, crowd)
+    few, crowded = regions(classes, percent, crowd)
     few, crowded = pin(few), pin(crowded)
     facts = classes.select("cid", "n", "sig")
     best = _weigh(few.join(facts, "cid"), percent)
