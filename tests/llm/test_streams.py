@@ -120,6 +120,27 @@ def test_mixture(spark, monkeypatch):
     assert 0 < known.used.sum() < len(known)
 
 
+def test_mixture_follows_the_weights_over_many_periods(spark):
+    counts = {"hot": 27_000, **{f"s{i}": 1_500 for i in range(5)}}
+    docs = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id long, source string")
+    weights = {"hot": 0.9, **{f"s{i}": 0.02 for i in range(5)}}
+    targets = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    out = mixing.mix(docs, targets).toPandas()
+    assert (out.release <= out.tick).all() and (out.tick < out.deadline).all()
+    blocks = out.drop_duplicates(["source", "block"])
+    assert sorted(blocks.tick) == list(range(len(blocks)))
+    first = blocks.groupby("source").tick.max().min()
+    assert first > 3000
+    for s, group in blocks.groupby("source"):
+        ran = np.searchsorted(np.sort(group.tick), np.arange(1, first))
+        assert np.abs(ran - np.arange(1, first) * weights[s]).max() < 1
+
+
+def test_units_are_the_proportions():
+    assert mixing._parts({"a": 0.9, "b": 0.1}, 1000) == {"a": 900, "b": 100}
+    assert mixing._parts({"a": 1e9, "b": 1.0, None: 1.0}, 10) == {"a": 8, "b": 1, None: 1}
+
+
 def test_mixing_whole_tables(spark):
     out = contract.queries()["op2_pfair_mix"](spark, FOLDER)
     assert out.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
