@@ -272,6 +272,17 @@ def test_near_duplicate_stage_links_at_80(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()) == [0, 3]
 
 
+def test_mixture_stage_keeps_all_documents_in_the_order_of_the_schedule(spark):
+    counts = {"hot": 900, "a": 100, "b": 100}
+    docs = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id long, source string")
+    docs = docs.withColumn("Tick", F.lit(0))
+    kept = [tuple(r) for r in corpus_pipeline.mixed(spark, docs, FOLDER).collect()]
+    assert sorted(kept) == sorted(map(tuple, docs.collect()))
+    ticks = {(r.source, r.doc_id): r.tick for r in mixing.mix(docs.drop("Tick")).collect()}
+    order = [ticks[s, i] for i, s, _ in kept]
+    assert order == sorted(order)
+
+
 def test_pipeline_without_documents_or_labels(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
