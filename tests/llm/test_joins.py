@@ -111,6 +111,14 @@ def test_forests_keep_recall_at_every_percentage(percent):
     assert 1 - (1 - (percent / 100) ** depth) ** trees > 0.9999
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 90])
+def test_estimates_overlook_fewer_pairs_than_regions(percent):
+    weighed = math.ceil((percent / 100 - near_texts.slack(percent)) * near_texts.HASHES - 1e-9)
+    p = percent / 100
+    below = sum(math.comb(128, k) * p**k * (1 - p)**(128 - k) for k in range(weighed))
+    assert below <= 2e-5
+
+
 @pytest.mark.parametrize("crowd", [2048, 6])
 def test_texts_equal_brute_force_at_80(spark, edited, crowd):
     docs = spark.createDataFrame(edited, "doc_id long, text string")

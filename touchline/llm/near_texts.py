@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ RECALL = 0.9999
 DEEPEST = 40
 CROWD = 2048
 """Sets in a region, or in a block of a crowded one, that are weighed at once."""
-SLACK = 0.11
-"""How far an estimate may lie below the similarity; more than three standard deviations."""
+OVERLOOKED = 2e-5
+"""Probability, at most, that the estimate of a pair of just the linking similarity is below what is weighed."""
 BROADCAST_ROWS = 500_000
 
 
@@ -49,7 +50,17 @@ def forest(percent: int) -> tuple[int, int]:
     raise ValueError(f"{HASHES} hashes are too few for links at {percent} percent")
 
 
+@cache
+def slack(percent: int) -> float:
+    """How far an estimate may lie below the similarity, for links at ``percent``: 0.14 at 85, 0.16 at 80."""
+    p, steps = percent / 100, 1
+    while sum(comb(HASHES, k) * p**k * (1 - p)**(HASHES - k) for k in range(ceil((p - steps / 100) * HASHES - 1e-9))) > OVERLOOKED:
+        steps += 1
+    return steps / 100
+
+
 TREES, DEPTH = forest(85)
+SLACK = slack(85)
 _rng = np.random.default_rng(20)
 _TIMES = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,7 +177,7 @@ def _proposals(cid, n, sig, percent: int):
     order = np.argsort(cid)
     cid, n, sig = cid[order], n[order], sig[order]
     likely = _alike(sig, sig)
-    ok = (likely >= percent / 100 - SLACK) & _may_link(n[:, None], n[None, :], percent)
+    ok = (likely >= percent / 100 - slack(percent)) & _may_link(n[:, None], n[None, :], percent)
     score = np.where(ok & np.tri(len(cid), k=-1, dtype=bool), likely, -1)
     a = score.argmax(axis=1)
     b = np.flatnonzero(score[np.arange(len(cid)), a] >= 0)
@@ -197,7 +208,7 @@ def _links_across(left: _Side, right: _Side, percent: int):
     A pair that shares regions of several trees is looked at in the first of them.
     """
     likely = _alike(left.sig, right.sig)
-    ok = (likely >= percent / 100 - SLACK) & _may_link(left.n[:, None], right.n[None, :], percent)
+    ok = (likely >= percent / 100 - slack(percent)) & _may_link(left.n[:, None], right.n[None, :], percent)
     i, j = np.nonzero(ok & (left.comp[:, None] != right.comp[None, :]) & (left.cid[:, None] < right.cid[None, :])
                       if left is right else ok & (left.comp[:, None] != right.comp[None, :]))
     mine = np.zeros(len(i), bool)
