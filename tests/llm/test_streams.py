@@ -272,6 +272,14 @@ def test_near_duplicate_stage_links_at_80(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()) == [0, 3]
 
 
+def test_near_duplicate_stage_where_ids_repeat(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(100)) for k in "abc")
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, c + " more"), (4, None), (4, None), (4, ""), (5, "x"), (5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()]
+    assert len(kept) == 6 and set(kept) < {(1, a), (2, b), (3, c), (3, c + " more"), (4, None), (4, ""), (5, "x")}
+
+
 def test_mixture_stage_keeps_all_documents_in_the_order_of_the_schedule(spark):
     counts = {"hot": 900, "a": 100, "b": 100}
     docs = spark.createDataFrame([(i, s) for s, n in counts.items() for i in range(n)], "doc_id long, source string")

@@ -373,17 +373,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_: str, t
     return with_b.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def near_duplicates(
-    docs: DataFrame, percent: int = 85, id_: str = "doc_id", text: str = "text", crowd: int = CROWD
-) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``.
-
-    Texts link when ``100 * common >= percent * all`` of their distinct shingles of five words; a text of
-    fewer words is one shingle, and a null, empty or blank one has none and links with nothing. Texts with
-    equal sets are one class from the start. ``component_id`` is the smallest id that links reach, a row's
-    own included; null ids are reached but never the smallest, unless there are no others. ``kept`` says that
-    it is the row's own, so rows that repeat a kept id are all kept. Other columns of ``docs`` take no part.
-    """
+def _judged(docs: DataFrame, percent: int, id_: str, text: str, crowd: int) -> DataFrame:
+    """``id``, ``n``, ``cid`` (null for no shingles), ``component_id`` and ``lead``, the first class, of every row."""
     found = pin(_described(docs.select(F.col(id_).alias("id"), F.col(text).alias("text")), "text"))
     # Equal sets have equal signatures, so the group holds one number only.
     sets = found.where("n > 0").groupBy("cid", "n", "sig").agg(F.min("id").alias("rep"), F.count("*").alias("times"))
@@ -412,12 +403,50 @@ def near_duplicates(
     if late.limit(1).count():
         roots = components(links.unionByName(late.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     placed = classes.select("cid", "rep", "times").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-    grouped = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
+    grouped = placed.where("root IS NOT NULL").groupBy("root").agg(
+        F.min("rep").alias("least"), F.min(F.struct(F.col("rep").isNull(), "rep", "cid"))["cid"].alias("lead")
+    )
     placed = placed.join(grouped, "root", "left").where("times > 1 OR root IS NOT NULL")
-    placed = placed.select("cid", F.coalesce("least", "rep").alias("component_id"))
+    placed = placed.select("cid", F.coalesce("least", "rep").alias("component_id"), F.coalesce("lead", "cid").alias("lead"))
     out = found.select("id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(placed, "cid", "left")
-    component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        "id", "n", "cid", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("lead", "cid").alias("lead")
     )
+
+
+def near_duplicates(
+    docs: DataFrame, percent: int = 85, id_: str = "doc_id", text: str = "text", crowd: int = CROWD
+) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``.
+
+    Texts link when ``100 * common >= percent * all`` of their distinct shingles of five words; a text of
+    fewer words is one shingle, and a null, empty or blank one has none and links with nothing. Texts with
+    equal sets are one class from the start. ``component_id`` is the smallest id that links reach, a row's
+    own included; null ids are reached but never the smallest, unless there are no others. ``kept`` says that
+    it is the row's own, so rows that repeat a kept id are all kept. Other columns of ``docs`` take no part.
+    """
+    return _judged(docs, percent, id_, text, crowd).select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def firsts(docs: DataFrame, percent: int, id_: str, text: str, crowd: int = CROWD) -> DataFrame:
+    """``doc_id``, ``cid`` and ``first`` of every row of ``docs``; ``cid`` as ``with_identity`` has it.
+
+    ``first`` is true for rows of one ``doc_id`` and one ``cid`` per component, also where ids repeat, and for
+    texts without words.
+    """
+    first = F.col("cid").isNull() | (F.col("cid") == F.col("lead")) & F.col("id").eqNullSafe(F.col("component_id"))
+    return _judged(docs, percent, id_, text, crowd).select(F.col("id").alias("doc_id"), "cid", first.alias("first"))
+
+
+def with_identity(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` with a column that is the same for equal sets of shingles, and null for none."""
+    def begin():
+        def compute(texts):
+            sets = shingles(texts)
+            return [pa.array(_identity(sets).view(np.int64), pa.int64(), mask=np.array([len(s) == 0 for s in sets]))]
+        return compute
+
+    return add_columns(docs, text, {name: "long"}, begin)
