@@ -1,4 +1,7 @@
-"""Quality of whole texts by a factorisation machine over hashed words, structure and metadata."""
+"""Quality of whole texts by a factorisation machine over hashed words and structure.
+
+No metadata is used: ``lang`` and ``source`` are barred, and ``n_chars`` says what the size of the text does.
+"""
 
 from __future__ import annotations
 
