@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from functools import cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{home}/{name}-{uuid.uuid4().hex}"
 
 
+# Where each pinned copy lies.
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once; later uses read that copy, also after a lost executor.
 
@@ -66,4 +71,12 @@ def pin(df: DataFrame) -> DataFrame:
     """
     path = scratch(df.sparkSession, "pinned")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PLACES[copy] = path
+    return copy
+
+
+def unpin(copy: DataFrame) -> None:
+    """Drop what ``pin`` returned before the application ends; nothing may read it any more."""
+    path = copy.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(_PLACES.pop(copy))
+    path.getFileSystem(copy.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
