@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from touchline.llm import language, mixing, near_texts, near_vectors, pieces, quality, topk, toxicity, urls, warc
+from touchline.llm import (
+    language, mixing, near_texts, near_vectors, pieces, quality, rules, shallot, topk, toxicity, urls, warc, whitening,
+)
 from touchline.llm.batches import reachable
-from touchline.session import scratch
+from touchline.session import pin, scratch
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     reachable(spark)
@@ -148,6 +150,20 @@ def _op10(spark, d, model=MODEL):
     return pieces.with_ids(docs, pieces.load(model)).select("doc_id", "n_ids", "ids", "round_trip")
 
 
+def _op11(spark, d):
+    return shallot.described(shallot.cluster(_table(spark, d, "embeddings").select("vec_id", "embedding")))
+
+
+def _op12(spark, d):
+    by = rules.rules()
+    voted = pin(rules.votes(rules.described(_table(spark, d, "documents").select("doc_id", "text")), by).drop("text"))
+    return rules.with_verdict(voted, rules.fit(voted, len(by))).select("doc_id", *rules.COUNTS, "base_failed", "kept", "quality")
+
+
+def _op13(spark, d):
+    return whitening.whiten(_table(spark, d, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
@@ -161,6 +177,9 @@ def queries() -> dict:
         "op8_no_random_access": _op8,
         "op9_forest_near_texts": _op9,
         "op10_piece_ids": _op10,
+        "op11_shallot_clusters": _op11,
+        "op12_rule_votes": _op12,
+        "op13_filtered_whitening": _op13,
     }
 
 

@@ -233,6 +233,11 @@ def _last_pass(centres: Centres) -> Callable:
     return run
 
 
+def _held(table: DataFrame) -> DataFrame:
+    """The blocks of a pass without its sums."""
+    return table.where(F.col("ids").isNotNull()).select("ids", "x", "first", "second", "upper", "lower")
+
+
 def _means(table: DataFrame, centres: np.ndarray) -> np.ndarray:
     """Exact means rounded down; centroids without vectors stay. The driver gets one row per cluster and dimension."""
     partial = table.where(F.col("cluster").isNotNull()).select("cluster", "n", F.posexplode("sums").alias("dim", "s"))
@@ -282,15 +287,14 @@ def cluster(
     table = None
     for _ in range(rounds):
         run = (rows.mapInArrow(_first_pass(at), _STATE_DDL) if table is None
-               else table.mapInArrow(_next_pass(at), _STATE_DDL))
+               else _held(table).mapInArrow(_next_pass(at), _STATE_DDL))
         before, table = table, pin(run)
         if before is not None:
             unpin(before)
         at = Centres(_means(table, at.c), at.c)
     if table is None:
         table = pin(rows.mapInArrow(_first_pass(at), _STATE_DDL))
-    blocks = table.where(F.col("ids").isNotNull())
-    members = pin(blocks.mapInArrow(_last_pass(at), "vec_id long, cluster int, distance long"))
+    members = pin(_held(table).mapInArrow(_last_pass(at), "vec_id long, cluster int, distance long"))
     unpin(table)
     return Clusters(members, at.c)
 
