@@ -180,6 +180,22 @@ def test_whitening_of_the_given_vectors(spark):
     _check_whitened(rows, [v for v in _vectors(spark) if _fit_for_use(v[1])])
 
 
+def test_whitening_adds_up_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "AT_DRIVER", 1)
+    vectors = [(i, v) for i, v in _vectors(spark) if _fit_for_use(v)][:200]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(before, ("false", "134217728")):
+        spark.conf.set(k, v)
+    try:
+        found = whitening.Vectors(whitening.usable(frame, 256, "vec_id", "embedding"), 64)
+        assert found.tasks >= 4
+        _check_whitened(whitening.whiten(frame).collect(), vectors)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_whitening_of_odd_rows(spark):
     rng = np.random.default_rng(2)
     points = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(60, 5)) * [9, 5, 3, 2, 1])]

@@ -10,7 +10,8 @@ little widens the block, so the iteration ends in any case: a block of all dimen
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,8 @@ from touchline.session import pin, unpin
 
 BLOCK = 4096
 """Vectors in a block."""
+AT_DRIVER = 64
+"""Matrices of a pass, a row per dimension each, that the driver adds up by itself."""
 LARGEST = float(1 << 44)
 """Size of a component from which on a vector takes no part: a block's sums must fit a long."""
 CERTIFIED = 2e-14
@@ -68,10 +71,11 @@ class Vectors:
     def __init__(self, rows: DataFrame, dims: int):
         self.dims = dims
         self.table = pin(rows.select("x").distinct().mapInArrow(_pack(dims), "n long, sums array<long>, x binary"))
-        sums = self.table.select(F.posexplode("sums").alias("dim", "s")).groupBy("dim").agg(
-            F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()
-        self.n = int(self.table.agg(F.sum("n")).first()[0])
-        self.sums = [int(r.s) for r in sorted(sums, key=lambda r: r.dim)]
+        self.tasks = self.table.select("x").rdd.getNumPartitions()
+        parts = self.table.select("n", F.posexplode("sums").alias("dim", "s")).groupBy("dim").agg(
+            F.sum("n").alias("n"), F.sum(F.col("s").cast("decimal(38,0)")).alias("s")).collect()
+        self.n = int(parts[0].n)
+        self.sums = [int(r.s) for r in sorted(parts, key=lambda r: r.dim)]
         # One rounding per dimension, however large the sums are.
         self.mean = np.array([s / self.n for s in self.sums])
 
@@ -79,46 +83,64 @@ class Vectors:
         """V ``q`` and the trace of V, by one pass."""
         dims, mean, width = self.dims, self.mean, q.shape[1]
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, trace = np.zeros((dims, width)), 0.0
-            for x in _read(batches, dims):
+        def run(blocks: Iterator[np.ndarray]) -> np.ndarray:
+            total = np.zeros((dims + 1, width))
+            for x in blocks:
                 centred = x - mean
-                total += centred.T @ (centred @ q)
-                trace += float(np.einsum("ij,ij->", centred, centred))
-            parts = [*total.tolist(), [trace]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(dims + 1), pa.int32()), pa.array(parts, pa.list_(pa.float64()))], names=["dim", "y"])
+                total[:-1] += centred.T @ (centred @ q)
+                total[-1, 0] += np.einsum("ij,ij->", centred, centred)
+            return total
 
-        return self._total(run, width)
+        total = self._sum(run) / self.n
+        return total[:-1], float(total[-1, 0])
 
     def spread(self, project: np.ndarray) -> np.ndarray:
         """The covariance of the centred vectors times ``project``, by one pass."""
-        dims, mean, width = self.dims, self.mean, project.shape[1]
+        mean, width = self.mean, project.shape[1]
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(blocks: Iterator[np.ndarray]) -> np.ndarray:
             # The last row holds plain sums: the projected mean is zero but for rounding.
-            total, plain = np.zeros((width, width)), np.zeros(width)
-            for x in _read(batches, dims):
+            total = np.zeros((width + 1, width))
+            for x in blocks:
                 w = (x - mean) @ project
-                total += w.T @ w
-                plain += w.sum(0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(width + 1), pa.int32()),
-                 pa.array([*total.tolist(), plain.tolist()], pa.list_(pa.float64()))], names=["dim", "y"])
+                total[:-1] += w.T @ w
+                total[-1] += w.sum(0)
+            return total
 
-        table = self._sums(run)
-        whole = np.array([[table[i, j] for j in range(width)] for i in range(width + 1)]) / self.n
-        return whole[:-1] - np.outer(whole[-1], whole[-1])
+        total = self._sum(run) / self.n
+        return total[:-1] - np.outer(total[-1], total[-1])
 
-    def _total(self, run, width: int) -> tuple[np.ndarray, float]:
-        table = self._sums(run)
-        y = np.array([[table[i, j] for j in range(width)] for i in range(self.dims)])
-        return y / self.n, table[self.dims, 0] / self.n
+    def _sum(self, run: Callable[[Iterator[np.ndarray]], np.ndarray]) -> np.ndarray:
+        """The matrices that ``run`` makes in each task, added up.
 
-    def _sums(self, run) -> dict[tuple[int, int], float]:
-        parts = self.table.select("x").mapInArrow(run, "dim int, y array<double>")
-        cells = parts.select("dim", F.posexplode("y").alias("col", "y")).groupBy("dim", "col").agg(F.sum("y").alias("y"))
-        return {(r.dim, r.col): r.y for r in cells.collect()}
+        Beyond ``AT_DRIVER`` tasks they are first added up in the square root of as many, so that the driver gets few.
+        """
+        dims = self.dims
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _matrix_row(run(_read(batches, dims)))
+
+        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = [_matrix_of(*row) for batch in batches for row in zip(*map(pa.Array.to_pylist, batch.columns))]
+            if parts:
+                yield _matrix_row(sum(parts))
+
+        parts = self.table.select("x").mapInArrow(each, _MATRIX)
+        if self.tasks > AT_DRIVER:
+            parts = parts.repartition(math.isqrt(self.tasks)).mapInArrow(together, _MATRIX)
+        return sum(_matrix_of(r.width, r.cells) for r in parts.collect())
+
+
+_MATRIX = "width int, cells binary"
+
+
+def _matrix_row(m: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([m.shape[1]], pa.int32()), pa.array([m.tobytes()], pa.binary())], names=["width", "cells"])
+
+
+def _matrix_of(width: int, cells: bytes) -> np.ndarray:
+    return np.frombuffer(cells).reshape(-1, width)
 
 
 def _floor_of(vectors, rng: np.random.Generator, steps: int) -> float:
@@ -159,7 +181,7 @@ def _ritz(block: np.ndarray, image: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return values[::-1], block @ turn, image @ turn
 
 
-def leading(vectors, wanted: int = 4, guard: int = 12, degree: int = 10, lanczos: int = 8, seed: int = 0) -> Spectrum:
+def leading(vectors, wanted: int = 4, guard: int = 28, degree: int = 6, lanczos: int = 4, seed: int = 0) -> Spectrum:
     """The ``wanted`` leading eigenpairs of the covariance of ``vectors``, certified by their residuals.
 
     ``vectors`` has ``dims`` and ``times(q)``. Filters dampen the spectrum from a floor that Lanczos steps give up to
