@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--mode", default="PERMISSIVE", choices=["PERMISSIVE", "FAILFAST"], help="FAILFAST stops at bad text")
     batch.add_argument("--max-rejects", type=float, default=0.01, help="share of bad records beyond which the run fails")
     batch.add_argument("--lines", action="store_true", help="raw files hold one record per line")
+    batch.add_argument("--checkpoint", help="remember which match files have been read here, and read new ones only")
 
     live = jobs.add_parser("live", help="a stream of score payloads into three collections")
     live.add_argument("--source", required=True, help="format of the stream, such as kafka")
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "daily":
         counts = daily.run_all(
             spark, args.raw, args.silver, args.out, args.report or tuple(REPORTS), not args.lines, args.mode,
-            args.max_rejects, **sink,
+            args.max_rejects, args.checkpoint, **sink,
         )
         for name, found in counts.items():
             print(name, *[f"{key}={n}" for key, n in found.items()])

@@ -93,6 +93,49 @@ def transform(
     return counts
 
 
+# Raw tables of a file per match, written once. Other files are replaced as a season goes on.
+ONCE_PER_MATCH = ("lineups", "events")
+
+
+def ingest(
+    spark: SparkSession, raw: str, silver: str, checkpoint: str, names: Iterable[str] = ONCE_PER_MATCH,
+    multiline: bool = True, mode: str = "PERMISSIVE", max_rejects: float = 0.01,
+) -> dict[str, dict[str, int]]:
+    """Add the raw files that have come since the last run, and no others, to the flat tables; counts as of ``transform``.
+
+    ``checkpoint/<name>`` remembers which files have been read, by name: a file that is replaced is not read again, so
+    this is for ``ONCE_PER_MATCH``. Each batch of files owns ``silver/<name>/batch_id=<n>`` and
+    ``silver/rejects/<name>/batch_id=<n>`` and overwrites them, so a batch that Spark repeats after a failure changes nothing.
+    Too many rejects among the new records fail the run when all are stored; the next run goes on behind them.
+    A silver table belongs to either ``ingest`` or ``transform``.
+    """
+    counts = {}
+    for name in names:
+        read, _, flatten = _ZONES[name]
+        found = read(spark, f"{raw}/{LAYOUT[name]}", multiline, mode, stream=True)
+        seen = counts[name] = dict.fromkeys(("rows", "rejects", "without_key"), 0)
+
+        def write(batch: DataFrame, number: int, name=name, flatten=flatten, seen=seen) -> None:
+            good, observed = F.col(BAD).isNull(), Observation()
+            counted = batch.observe(
+                observed, F.count(F.lit(1)).alias("rows"), F.count(BAD).alias("rejects"),
+                F.count_if(good & F.col(_KEYS[name]).isNull()).alias("without_key"),
+            )
+            write_transformed(flatten(counted.where(good)), silver, name, batch=number)
+            for key, n in observed.get.items():
+                seen[key] += n
+            rejects = batch.where(~good).select(F.col(FILE).alias("file"), F.col(BAD).alias("text"))
+            if not observed.get["rejects"]:
+                rejects = spark.createDataFrame([], rejects.schema)
+            rejects.write.mode("overwrite").parquet(f"{silver}/rejects/{name}/batch_id={number}")
+
+        stream = found.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{name}")
+        stream.trigger(availableNow=True).start().awaitTermination()
+        if seen["rejects"] > max_rejects * seen["rows"]:
+            raise TooManyRejects(f"{seen['rejects']} of {seen['rows']} new records of {name}; see {silver}/rejects/{name}")
+    return counts
+
+
 def tables_of(spark: SparkSession, silver: str, names: Iterable[str]) -> dict[str, DataFrame]:
     return {name: read_transformed(spark, silver, name, flat_schema(spark, name)) for name in names}
 
@@ -106,14 +149,19 @@ def run_all(
     multiline: bool = True,
     mode: str = "PERMISSIVE",
     max_rejects: float = 0.01,
+    checkpoint: str | None = None,
     **sink: str,
 ) -> dict[str, dict[str, int]]:
     """The whole daily run. ``curated`` and ``sink`` go to ``write_curated``; the counts are ``transform``'s.
 
-    Lineups are written flat too, where there are any, and the teams of all matches.
+    Lineups are written flat too, where there are any, and the teams of all matches. With a ``checkpoint`` the files of
+    ``ONCE_PER_MATCH`` go through ``ingest``, so only new ones are read; their counts are of these.
     """
     found = [name for name in _ZONES if name != "lineups" or exists(spark, f"{raw}/{LAYOUT[name]}")]
-    counts = transform(spark, raw, silver, found, multiline, mode, max_rejects)
+    new = [name for name in found if checkpoint is not None and name in ONCE_PER_MATCH]
+    counts = transform(spark, raw, silver, [name for name in found if name not in new], multiline, mode, max_rejects)
+    if new:
+        counts |= ingest(spark, raw, silver, checkpoint, new, multiline, mode, max_rejects)
     flat_tables = Tables(**tables_of(spark, silver, Tables._fields))
     for name in names:
         write_curated(REPORTS[name](flat_tables), name, curated, **sink)

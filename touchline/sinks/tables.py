@@ -15,8 +15,8 @@ LAYOUT = {
 }
 
 
-def write_transformed(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> None:
-    """Write a flat table as Parquet, in folders by ``LAYOUT[name]``.
+def write_transformed(df: DataFrame, root: str, name: str, mode: str = "overwrite", batch: int | None = None) -> None:
+    """Write a flat table as Parquet, in folders by ``LAYOUT[name]``; with a ``batch``, below a folder of its own.
 
     The rebalance gathers a folder's rows into files of the advisory partition size: AQE splits a
     kind of event that holds a third of all rows and merges the rare ones, so neither one huge file
@@ -24,13 +24,18 @@ def write_transformed(df: DataFrame, root: str, name: str, mode: str = "overwrit
     """
     folders = LAYOUT[name]
     rows = df.hint("rebalance", *folders) if folders else df.hint("rebalance")
-    rows.write.mode(mode).partitionBy(*folders).parquet(f"{root}/{name}")
+    below = "" if batch is None else f"/batch_id={batch}"
+    rows.write.mode(mode).partitionBy(*folders).parquet(f"{root}/{name}{below}")
 
 
 def read_transformed(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
-    """Read a transformed table. A ``schema`` fixes the folder column's type, else Spark guesses it."""
+    """Read a transformed table. A ``schema`` fixes the folder column's type, else Spark guesses it.
+
+    With a ``schema`` the number of the batch that wrote a row is left out.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{root}/{name}")
+    table = reader.parquet(f"{root}/{name}")
+    return table if schema is None else table.select(*schema.names)
 
 
 def write_curated(

@@ -21,14 +21,16 @@ _MATCH_FILE = r"/(\d+)\.json[^/]*$"
 
 
 def _json(
-    spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool, mode: str
+    spark: SparkSession, path: str | list[str], schema: StructType, multiline: bool, mode: str, stream: bool = False
 ) -> DataFrame:
     """Records with ``BAD`` and ``FILE`` beside their own columns.
 
     Of a multi-line file that is cut short nothing can be read: its whole text is one bad record.
+    A ``stream`` gives each file once, as long as its checkpoint is kept.
     """
     fields = StructType([*schema.fields, StructField(BAD, StringType())])
-    read = spark.read.schema(fields).json(path, multiLine=multiline, mode=mode, columnNameOfCorruptRecord=BAD)
+    reader = (spark.readStream if stream else spark.read).schema(fields)
+    read = reader.json(path, multiLine=multiline, mode=mode, columnNameOfCorruptRecord=BAD)
     return read.withColumn(FILE, F.col("_metadata.file_path"))
 
 
@@ -45,13 +47,15 @@ def read_matches(
 
 
 def read_lineups(
-    spark: SparkSession, path: str | list[str], multiline: bool = True, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str | list[str], multiline: bool = True, mode: str = "PERMISSIVE",
+    stream: bool = False,
 ) -> DataFrame:
-    return _json(spark, path, schemas.LINEUPS, multiline, mode)
+    return _json(spark, path, schemas.LINEUPS, multiline, mode, stream)
 
 
 def read_events(
-    spark: SparkSession, path: str | list[str], multiline: bool = True, mode: str = "PERMISSIVE"
+    spark: SparkSession, path: str | list[str], multiline: bool = True, mode: str = "PERMISSIVE",
+    stream: bool = False,
 ) -> DataFrame:
     """Events; ``match_id`` comes from the record, else from the name of its file.
 
@@ -59,7 +63,7 @@ def read_events(
     needs ``multiline=True``: read by line, it would give a row of NULLs for each line. ``mode`` is
     Spark's: ``FAILFAST`` stops at malformed text.
     """
-    raw = _json(spark, path, schemas.EVENTS, multiline, mode)
+    raw = _json(spark, path, schemas.EVENTS, multiline, mode, stream)
     from_name = F.regexp_extract(FILE, _MATCH_FILE, 1).try_cast("long")
     return raw.withColumn("match_id", F.coalesce("match_id", from_name))
 
