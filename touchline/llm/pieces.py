@@ -13,17 +13,26 @@ whose ids a task may remember.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass, field
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
+from ahocorasick import STORE_ANY, Automaton
 from pyspark.sql import DataFrame
 
 from touchline.llm.batches import add_columns
 
 BLANK = "▁"
-KNOWN_WORDS = 1 << 17
+KNOWN_BYTES = 32 << 20
+"""Memory of half the remembered words, with the mark before them or without."""
+ENTRY = 200
+"""Bytes that a dictionary takes for a word beyond its letters and ids, about."""
 KNOWN_PAIRS = 1 << 18
+BEGINNING = 5
+"""Characters of a stretch whose paths are remembered."""
+KNOWN_BEGINNINGS = 1 << 15
 LONG_WORD = 64
 """Characters beyond which a word's ids are not remembered."""
 
@@ -39,14 +48,11 @@ class Vocabulary:
     size: int
     dummy: bool
     inner: set[str] = field(default_factory=set)
-    longest: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
-        """The pairs of characters inside a piece, and the longest piece that ends in three given ones."""
+        """The pairs of characters inside a piece."""
         for piece in self.ids:
             self.inner.update(piece[i - 2:i] for i in range(2, len(piece) + 1))
-            if len(piece) > 2:
-                self.longest[piece[-3:]] = max(self.longest.get(piece[-3:], 3), len(piece))
         self.reach = max(map(len, self.ids), default=1)
         # A mark inside a word, or a line end in a piece, would join what is taken apart here.
         self.words = not any((p[1] == BLANK and p[0] != BLANK) or "\n" in p for p in self.inner)
@@ -75,9 +81,24 @@ def load(path: str) -> Vocabulary:
 
 
 class Encoder:
+    """Pieces are known by their ids, and a character that is none by ``size`` and its code point.
+
+    An automaton over the longer pieces gives at each character those that end there, the longest first.
+    """
+
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._automaton = Automaton(STORE_ANY)
+        self._names: dict[int, str] = {-1: ""}
+        self._pairs = 0
+        self._begun: dict[str, tuple[list[int], list[int]]] = {}
+        for piece, i in vocabulary.ids.items():
+            self._names[i] = piece
+            if len(piece) > 1:
+                # With each piece, those met before it and whether it may follow.
+                self._automaton.add_word(piece, (i, len(piece), {}))
+        if len(self._automaton):
+            self._automaton.make_automaton()
 
     def merged(self, text: str) -> list[str]:
         """A short text by its merges: the best-scored pair first, of equals the leftmost."""
@@ -93,45 +114,72 @@ class Encoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def allowed(self, left: str, right: str) -> bool:
-        """Whether the merges of both together leave ``left`` and ``right``; ``left`` may be empty."""
-        if len(self._pairs) >= KNOWN_PAIRS:
-            self._pairs.clear()
-        kept = self.merged(left + right) == ([left, right] if left else [right])
-        self._pairs[left, right] = kept
-        return kept
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a stretch that has its marks already."""
-        ids, inner, longest, reach, pairs = self.v.ids, self.v.inner, self.v.longest, self.v.reach, self._pairs
-        out: list[str] = []
-        # For each boundary from ``done`` on: how the one path to it ends, and where that piece begins.
-        done, last, begin = 0, [""], [0]
-        for i in range(len(text)):
-            if text[i - 1:i + 1] not in inner:  # nor is the empty stretch before the first character
-                # No piece holds these two characters, so all paths share the boundary between them.
-                out += self._path(last, begin, done, i)
-                done, last, begin = i, ["", text[i]], [i, i]
+    def name(self, number: int) -> str:
+        return chr(number - self.v.size) if number >= self.v.size else self._names[number]
+
+    def allowed(self, left: int, right: int) -> bool:
+        """Whether the merges of both together leave ``left`` and ``right``; a ``left`` of -1 is empty."""
+        before, after = self.name(left), self.name(right)
+        return self.merged(before + after) == ([before, after] if before else [after])
+
+    def _forget(self) -> None:
+        for _, _, pairs in self._automaton.values():
+            pairs.clear()
+        self._pairs = 0
+
+    def pieces(self, text: str) -> list[int]:
+        """The pieces of a stretch that has its marks already.
+
+        The paths to the first boundaries depend on the first characters alone, so stretches that begin alike share them.
+        """
+        size, single, window = self.v.size, self.v.ids, 4 * self.v.reach
+        out: list[int] = []
+        # For each boundary from ``done`` to ``at``: how the one path to it ends, and where that piece begins.
+        done, at, last, begin = 0, 0, [-1], [0]
+        shares = len(text) > BEGINNING
+        if shares and (begun := self._begun.get(text[:BEGINNING])) is not None:
+            at, last, begin, shares = BEGINNING, begun[0].copy(), begun[1].copy(), False
+        for i, (piece, length, pairs) in self._automaton.iter(text) if len(self._automaton) else ():
+            if i < at:
+                continue  # a longer piece ends the path to this boundary
+            # If no longer piece ends the paths to the boundaries before, their characters do.
+            while at < i:
+                last.append(single.get(text[at], size + ord(text[at])))
+                begin.append(at)
+                at += 1
+            if shares and at >= BEGINNING:
+                self._begin(text, last, begin)
+                shares = False
+            start = i + 1 - length
+            if start < done:
                 continue
-            end = i + 1
-            for start in range(max(done, end - longest.get(text[i - 2:end], 2)), i):
-                piece = text[start:end]
-                if piece in ids:
-                    left = last[start - done]
-                    kept = pairs.get((left, piece))
-                    if kept or (kept is None and self.allowed(left, piece)):
-                        break
-            else:
-                # One path reaches every boundary; if no longer piece ends it, the character does.
-                start = i
-            last.append(text[start:end])
-            begin.append(start)
-            if end - done > 4 * reach:
-                shared = self._shared(begin, done, end, reach)
-                out += self._path(last, begin, done, shared)
-                last, begin, done = ["", *last[shared - done + 1:]], begin[shared - done:], shared
+            left = last[start - done]
+            kept = pairs.get(left)
+            if kept is None:
+                if self._pairs >= KNOWN_PAIRS:
+                    self._forget()
+                self._pairs += 1
+                kept = pairs[left] = self.allowed(left, piece)
+            if kept:
+                last.append(piece)
+                begin.append(start)
+                at = i + 1
+                if at - done > window:
+                    shared = self._shared(begin, done, at, self.v.reach)
+                    out += self._path(last, begin, done, shared)
+                    last, begin, done = last[shared - done:], begin[shared - done:], shared
+        for i in range(at, len(text)):
+            last.append(single.get(text[i], size + ord(text[i])))
+            begin.append(i)
+        if shares and not out:
+            self._begin(text, last, begin)
         return out + self._path(last, begin, done, len(text))
 
+    def _begin(self, text: str, last: list[int], begin: list[int]) -> None:
+        if len(self._begun) >= KNOWN_BEGINNINGS:
+            self._begun.clear()
+        self._begun[text[:BEGINNING]] = last[:BEGINNING + 1], begin[:BEGINNING + 1]
+
     @staticmethod
     def _shared(begin: list[int], done: int, end: int, reach: int) -> int:
         """The last boundary on the paths to all those that a coming piece can start from."""
@@ -143,7 +191,7 @@ class Encoder:
         return ends.pop()
 
     @staticmethod
-    def _path(last: list[str], begin: list[int], done: int, end: int) -> list[str]:
+    def _path(last: list[int], begin: list[int], done: int, end: int) -> list[int]:
         pieces = []
         while end > done:
             pieces.append(last[end - done])
@@ -153,25 +201,31 @@ class Encoder:
 
     def ids(self, text: str) -> list[int]:
         """Ids of a stretch that has its marks already; a character without a piece becomes its bytes."""
-        out, known, single = [], self.v.ids, self.v.bytes_
-        for piece in self.pieces(text):
-            found = known.get(piece)
-            if found is None:
-                out.extend(single[b] for b in piece.encode("utf-8", "replace"))
+        found, size, single = self.pieces(text), self.v.size, self.v.bytes_
+        if found and max(found) < size:
+            return found
+        out = []
+        for piece in found:
+            if piece < size:
+                out.append(piece)
             else:
-                out.append(found)
+                out.extend(single[b] for b in chr(piece - size).encode("utf-8", "replace"))
         return out
 
+    def packed(self, text: str) -> bytes:
+        """The ids as 32-bit numbers."""
+        return array("i", self.ids(text)).tobytes()
+
 
 class _Words(dict):
     """A word's ids as packed 32-bit numbers, with or without the mark before it.
 
-    Words seen lately are remembered: when ``KNOWN_WORDS`` are, they become the older half and those of
+    Words seen lately are remembered: when they take ``KNOWN_BYTES``, they become the older half and those of
     the half before go, but for words that are met again.
     """
 
     def __init__(self, encoder: Encoder, mark: str, bare: _Words | None = None):
-        self.encoder, self.mark, self.older = encoder, mark, {}
+        self.encoder, self.mark, self.older, self.bytes = encoder, mark, {}, 0
         self.bare = self if bare is None else bare
 
     def __missing__(self, word: str) -> bytes:
@@ -179,9 +233,10 @@ class _Words(dict):
         if packed is None:
             packed = self._encode(word)
         if len(word) <= LONG_WORD:
-            if len(self) >= KNOWN_WORDS:
-                self.older = dict(self)
+            if self.bytes >= KNOWN_BYTES:
+                self.older, self.bytes = dict(self), 0
                 self.clear()
+            self.bytes += len(word) + len(packed) + ENTRY
             self[word] = packed
         return packed
 
@@ -189,9 +244,9 @@ class _Words(dict):
         # All paths share the boundary between two characters that no piece holds side by side, so what
         # lies between such boundaries are words of their own.
         inner = self.encoder.v.inner
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inner]
-        if not cuts:
-            return np.array(self.encoder.ids(self.mark + word), np.int32).tobytes()
+        if inner.issuperset(map(concat, word, word[1:])):
+            return self.encoder.packed(self.mark + word)
+        cuts = [i for i, pair in enumerate(map(concat, word, word[1:]), 1) if pair not in inner]
         parts = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
         return self[parts[0]] + b"".join(map(self.bare.__getitem__, parts[1:]))
 
@@ -204,7 +259,7 @@ class Codec:
         self.encoder = Encoder(vocabulary)
         self.bare = _Words(self.encoder, "")
         self.marked = _Words(self.encoder, BLANK, self.bare)
-        self.line_end = np.array(self.encoder.ids("\n"), np.int32).tobytes()
+        self.line_end = self.encoder.packed("\n")
         self.raw = [b""] * vocabulary.size
         for piece, i in vocabulary.ids.items():
             self.raw[i] = piece.replace(BLANK, " ").encode()
@@ -219,14 +274,14 @@ class Codec:
             return b""
         if BLANK in text or not self.v.words:
             whole = (BLANK if self.v.dummy else "") + text.replace(" ", BLANK)
-            return np.array(self.encoder.ids(whole), np.int32).tobytes()
+            return self.encoder.packed(whole)
         lines = []
         for n, line in enumerate(text.split("\n")):
             words = line.split(" ")
             first = BLANK if n == 0 and self.v.dummy else ""
             if "" in words:
                 # Runs of blanks belong to the word behind them.
-                lines.append(np.array(self.encoder.ids(first + line.replace(" ", BLANK)), np.int32).tobytes())
+                lines.append(self.encoder.packed(first + line.replace(" ", BLANK)))
             else:
                 start = (self.marked if first else self.bare)[words[0]]
                 lines.append(start + b"".join(map(self.marked.__getitem__, words[1:])))
