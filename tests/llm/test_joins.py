@@ -171,6 +171,38 @@ def test_vectors_equal_brute_force(spark, shard):
     _check_vectors(found, rows)
 
 
+def _apart(rng, n, pairs, dims=64):
+    """Loose clusters, and pairs apart from them and from one another, in random order."""
+    unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
+    loose = unit(unit(rng.normal(size=(8, dims)))[rng.integers(0, 8, n - 2 * pairs)] + 0.08 * rng.normal(size=(n - 2 * pairs, dims)))
+    base = unit(rng.normal(size=(pairs, dims)))
+    x = np.concatenate([loose, base, unit(base + 0.012 * rng.normal(size=base.shape))])
+    return x[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("shard", [4096, 600])
+def test_rare_links_apart_from_clusters_equal_brute_force(spark, shard):
+    rows = [(i, x.astype(np.float32).tolist(), 1) for i, x in enumerate(_apart(np.random.default_rng(8), 2400, 60))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = near_vectors.near_duplicates(vectors, shard=shard, with_recall=True).cache()
+    _check_vectors(found, rows)
+    assert found.select("recall").distinct().collect()[0][0] == 1
+
+
+def test_audit_sees_what_a_broken_graph_hides():
+    """Without links to some vectors the audit fails, though no link of its queries is missed, and products follow."""
+    x = _apart(np.random.default_rng(9), 4096, 40)
+    graph = near_vectors.Graph(x)
+    gone = np.arange(0, len(x), 3)
+    for layer in graph.layers:
+        layer[np.isin(layer, gone)] = -1
+    sought, hits, _ = near_vectors._audit(x[:64], x, graph, 0.98, 64)
+    assert hits < sought
+    rows, found, _, _ = near_vectors.links(x, x, graph, 0.98)
+    true = near_vectors._exact(x, x, 0.98)
+    assert set(zip(rows, found)) == set(zip(*true))
+
+
 def test_vectors_of_odd_rows(spark):
     x, nan = [1.0, 2.0], float("nan")
     rows = [(1, None, 1), (2, [], 1), (3, [0.0, 0.0], 1), (4, [1.0, None], 1), (5, [nan, 1.0], 1), (6, [float("inf"), 1.0], 1),

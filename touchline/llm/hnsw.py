@@ -34,6 +34,16 @@ class Graph:
             size = min(n - done, max(1, min(AT_ONCE, done)))
             self._insert(order[done:done + size], order[:done], beam)
             done += size
+        self.lost = self._lost() if n else np.zeros(0, np.int64)
+
+    def _lost(self, beam: int = 8) -> np.ndarray:
+        """Vectors that a narrow search for themselves misses, as too few links lead to them.
+
+        Where a beam is full of vectors that are all but the same, another of them was found.
+        """
+        ids, score = self.search(self.x, beam)
+        met = (ids == np.arange(len(self.x))[:, None]).any(axis=1)
+        return np.flatnonzero(~met & (score[:, -1] < 1 - 1e-5))
 
     def _insert(self, new: np.ndarray, old: np.ndarray, beam: int) -> None:
         """Vectors of one batch meet one another by all their products, older ones by a search."""

@@ -3,7 +3,11 @@
 Equal vectors of a label are one class from the start. The classes of a label are cut into shards of
 bounded size, each with its own graph; every class queries every shard of its label. A query whose beam
 is full of near ones gets a wider beam, and so do all queries of a pair of shards while an audit against
-all products misses a link; past a quarter of the shard the products themselves are taken.
+all products fails; past a 32nd of the shard the products themselves are taken.
+
+The audit asks for the nearest ten, whatever their cosine, of queries and of the vectors with the fewest links to
+them, so it measures the search also where links are rare. Vectors that a search for themselves does not find
+are compared with every query by products.
 """
 
 from __future__ import annotations
@@ -19,9 +23,13 @@ from touchline.llm.hnsw import Graph
 from touchline.session import pin
 
 SHARD = 4096
-BEAM = 32
+BEAM = 64
 AUDIT = 64
-"""Queries of a pair of shards that are held against all products."""
+"""Queries of a pair of shards that are held against all products, and as many vectors with few links to them."""
+NEAREST = 11
+"""Vectors that each of those has to find: itself, where it is among them, and the ten nearest."""
+WIDEST = 32
+"""A beam of more than one in this many vectors of a shard costs more than all products."""
 MARGIN = 1e-4
 """What single precision may take from a similarity."""
 
@@ -41,14 +49,15 @@ def _unit(column, dims: int) -> np.ndarray:
 
 def _pack(graph: Graph) -> bytes:
     out = io.BytesIO()
-    np.savez(out, entry=graph.entry, **{f"layer{k}": layer for k, layer in enumerate(graph.layers)})
+    np.savez(out, entry=graph.entry, lost=graph.lost, **{f"layer{k}": layer for k, layer in enumerate(graph.layers)})
     return out.getvalue()
 
 
 def _unpack(packed: bytes, x: np.ndarray) -> Graph:
     graph, held = Graph.__new__(Graph), np.load(io.BytesIO(packed))
     graph.x, graph.entry = np.ascontiguousarray(x, np.float32), int(held["entry"])
-    graph.layers = [held[f"layer{k}"] for k in range(len(held.files) - 1)]
+    graph.lost = held["lost"]
+    graph.layers = [held[f"layer{k}"] for k in range(len(held.files) - 2)]
     return graph
 
 
@@ -62,30 +71,59 @@ def _exact(q: np.ndarray, x: np.ndarray, least: float) -> tuple[np.ndarray, np.n
     return np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(found or [np.zeros(0, int)])
 
 
-def links(q: np.ndarray, x: np.ndarray, graph: Graph, least: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of ``q`` and of ``x`` whose cosine is ``least`` or more, found through the graph of ``x``."""
+def _audit(asked: np.ndarray, x: np.ndarray, graph: Graph, least: float, beam: int) -> tuple[int, int, bool]:
+    """Of the nearest of ``asked`` how many are sought and found, and whether a link is missed.
+
+    Queries whose beam is full of near ones are left out, as they get a wider one.
+    """
+    ids, score = graph.search(asked, beam)
+    rows = np.flatnonzero((score[:, -1] < least - MARGIN) | (beam >= len(x)))
+    true, k = asked[rows] @ x.T, min(NEAREST, len(x))
+    seen = np.zeros((len(rows), len(x) + 1), bool)  # the last column takes what is no vector
+    seen[np.arange(len(rows))[:, None], ids[rows]] = True
+    seen = seen[:, :-1]
+    seen[:, graph.lost] = True
+    # Equals of the last of the nearest will do in its place.
+    nearest = true >= np.partition(true, -k, axis=1)[:, -k:].min(axis=1, keepdims=True) - 1e-6
+    hits = np.minimum((seen & nearest).sum(axis=1), k).sum()
+    return k * len(rows), int(hits), bool(((true >= least) & ~seen).any())
+
+
+def links(
+    q: np.ndarray, x: np.ndarray, graph: Graph, least: float, beam: int = BEAM
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Rows of ``q`` and of ``x`` whose cosine is ``least`` or more, found through the graph of ``x``.
+
+    With them the audit's neighbours sought and found at the beam that was taken.
+    """
     audited = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    true_q, true_x = _exact(q[audited], x, least)
-    truth = audited[true_q] * len(x) + true_x
-    while 4 * beam <= len(x):
-        rows, found = [], []
-        open_, width = np.arange(len(q)), beam
-        while len(open_) and 4 * width <= len(x):
-            ids, score = graph.search(q[open_], width)
-            # A beam that holds only near ones may have left others out.
-            full = score[:, -1] >= least - MARGIN
-            r, c = np.nonzero((score >= least - MARGIN) & (ids >= 0) & ~full[:, None])
-            rows.append(open_[r])
-            found.append(ids[r, c])
-            open_, width = open_[full], 4 * width
-        r, c = _exact(q[open_], x, least)
-        rows, found = np.concatenate([*rows, open_[r]]), np.concatenate([*found, c])
-        cosine = np.einsum("nd,nd->n", q[rows], x[found])
-        rows, found = rows[cosine >= least], found[cosine >= least]
-        if np.isin(truth, rows * len(x) + found).all():
-            return rows, found
-        beam *= 2
-    return _exact(q, x, least)
+    weak = np.argsort(np.bincount(graph.layers[0][graph.layers[0] >= 0], minlength=len(x)), kind="stable")
+    asked, beam = np.concatenate([q[audited], x[weak[:AUDIT]]]), min(beam, len(x))
+    while True:
+        sought, hits, missed = _audit(asked, x, graph, least, beam)
+        if hits == sought and not missed:
+            break
+        beam *= 4
+        if WIDEST * beam > len(x):
+            rows, found = _exact(q, x, least)
+            return rows, found, sought, sought
+    rows, found = [], []
+    open_, width = np.arange(len(q)), beam
+    while len(open_) and (width == beam or WIDEST * width <= len(x)):
+        ids, score = graph.search(q[open_], width)
+        # A beam that holds only near ones may have left others out.
+        full = (score[:, -1] >= least - MARGIN) & (width < len(x))
+        r, c = np.nonzero((score >= least - MARGIN) & (ids >= 0) & ~full[:, None])
+        rows.append(open_[r])
+        found.append(ids[r, c])
+        open_, width = open_[full], 4 * width
+    r, c = _exact(q[open_], x, least)
+    also, lost = _exact(q, x[graph.lost], least)
+    rows, found = np.concatenate([*rows, open_[r], also]), np.concatenate([*found, c, graph.lost[lost]])
+    pair = np.unique(rows * len(x) + found)
+    rows, found = pair // len(x), pair % len(x)
+    cosine = np.einsum("nd,nd->n", q[rows], x[found])
+    return rows[cosine >= least], found[cosine >= least], sought, hits
 
 
 def _forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -103,26 +141,32 @@ def _forest(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         root = least
 
 
-_LINKED = "cid long, links long, root long"
+_LINKED = "cid long, links long, root long, sought long, hits long"
 
 
-def _summed(cid: np.ndarray, times: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.Table:
+def _summed(
+    cid: np.ndarray, times: np.ndarray, u: np.ndarray, v: np.ndarray, sought: int = 0, hits: int = 0
+) -> pa.Table:
     """A row for each node with a link: the vectors it links with, and the first node of its tree.
 
-    ``u`` and ``v`` hold each link once. So a shard leaves no more rows than it has classes.
+    ``u`` and ``v`` hold each link once. So a shard leaves no more rows than it has classes, and one without a
+    node for its audit.
     """
     count = np.bincount(u, times[v], len(cid)) + np.bincount(v, times[u], len(cid))
     root = _forest(len(cid), u, v)
     linked = np.flatnonzero(count)
+    none = [None] * len(linked)
     return pa.table({
-        "cid": pa.array(cid[linked], pa.int64()), "links": pa.array(count[linked].astype(np.int64)),
-        "root": pa.array(cid[root[linked]], pa.int64()),
+        "cid": pa.array([*cid[linked].tolist(), None], pa.int64()),
+        "links": pa.array([*count[linked].astype(np.int64).tolist(), None], pa.int64()),
+        "root": pa.array([*cid[root[linked]].tolist(), None], pa.int64()),
+        "sought": pa.array([*none, sought], pa.int64()), "hits": pa.array([*none, hits], pa.int64()),
     })
 
 
 def near_duplicates(
     vectors: DataFrame, least: float = 0.98, id_: str = "vec_id", vector: str = "embedding",
-    label: str = "label", shard: int = SHARD,
+    label: str = "label", shard: int = SHARD, with_recall: bool = False,
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row of ``vectors``.
 
@@ -131,7 +175,8 @@ def near_duplicates(
     component link with nothing. ``n_links`` counts the other rows linked directly, copies included;
     ``component_id`` is the smallest id that links reach, a row's own included, where null ids count only
     if there are no others; ``kept`` says that it is the row's own. Rows that repeat an id are rows of
-    their own. Other columns take no part.
+    their own. Other columns take no part. ``with_recall`` adds ``recall``, one value: the share of nearest vectors that the audits of
+    all pairs of shards found, 1 for pairs that were searched by products, null where there was no pair.
     """
     rows = vectors.select(F.col(id_).alias("id"), F.col(vector).alias("x"), F.col(label).alias("label"))
     rows = rows.withColumn("cid", F.when(_usable(F.col("x")) & F.col("label").isNotNull(), F.xxhash64("label", "x")))
@@ -174,18 +219,21 @@ def near_duplicates(
         left, dims = left.slice(0, left.num_rows - 1), left["dims"][0].as_py()
         x, same = _unit(left["x"], dims), left["s"][0].as_py() == right["t"][0].as_py()
         q = x if same else _unit(right["x"], dims)
-        r, c = links(q, x, _unpack(packed, x), least)
+        r, c, sought, hits = links(q, x, _unpack(packed, x), least)
         cid, times = left["cid"].to_numpy(), left["times"].to_numpy().astype(float)
         if same:
             pair = np.unique(np.minimum(r, c)[r != c] * len(x) + np.maximum(r, c)[r != c])
-            return _summed(cid, times, pair // len(x), pair % len(x))
+            return _summed(cid, times, pair // len(x), pair % len(x), sought, hits)
         return _summed(
             np.concatenate([cid, right["cid"].to_numpy()]),
             np.concatenate([times, right["times"].to_numpy().astype(float)]), c, r + len(x),
+            sought, hits,
         )
 
     pair = ["label", "dims", "s", "t"]
     found = pin(index.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInArrow(meet, _LINKED))
+    recall = [found.agg(F.sum("hits") / F.sum("sought")).scalar().alias("recall")] if with_recall else []
+    found = found.where("cid IS NOT NULL")
     roots = components(found.select(F.col("cid").alias("u"), F.col("root").alias("v")))
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     placed = classes.select("cid", "rep", "times").join(counts, "cid", "left").join(
@@ -201,4 +249,5 @@ def near_duplicates(
     return out.select(
         F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"),
+        *recall,
     )

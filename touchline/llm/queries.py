@@ -33,7 +33,7 @@ def _op2(spark, d):
 
 
 def _op4(spark, d):
-    return near_vectors.near_duplicates(_table(spark, d, "embeddings"))
+    return near_vectors.near_duplicates(_table(spark, d, "embeddings"), with_recall=True)
 
 
 RULES = [
