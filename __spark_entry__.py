@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline import functions as flat
 from touchline.operators import diff_from_mean, lagged, mean_by, ranked, running, sum_through
-from touchline.plans import jobs
+from touchline.plans import jobs, partials
 from touchline.schemas import OPAQUE
 from touchline.session import scratch
 from touchline.sinks import (
@@ -421,6 +421,30 @@ def _transformed(spark, d):
     return goals.groupBy("player_name").agg(F.count(F.lit(1)).alias("goals"), F.max("event_id").alias("last_event"))
 
 
+def _kept(spark, d, kind):
+    """Partials of the line items of two days; the second day's batch is repeated, as after a failure."""
+    root = scratch(spark, "partials")
+    early = "coalesce(l_shipdate < DATE '1995-06-17', false)"
+    for batch, days in ((0, early), (1, f"NOT {early}"), (1, f"NOT {early}")):
+        partials.store(star.events(spark, d, kind, only=days), root, batch, ["match_id", "team_name"])
+    return partials.stored(spark, root)
+
+
+def _kept_completion(spark, d):
+    out = partials.pass_completion(_kept(spark, d, "Pass"), star.matches(spark, d, placed=False))
+    return _plain(out, "completion_rate", "running_avg_completion")
+
+
+def _kept_counterpress(spark, d):
+    out = partials.counterpress(_kept(spark, d, "Pressure"), star.matches(spark, d, placed=False))
+    return _plain(out, "rolling_avg_counterpress")
+
+
+def _kept_growth(spark, d):
+    out = partials.goals_growth(_kept(spark, d, "Shot"), star.matches(spark, d), star.competitions(spark, d))
+    return _plain(out, "yoy_growth")
+
+
 def _curated(spark, d):
     root = scratch(spark, "curated")
     for _ in range(2):
@@ -530,6 +554,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k1_curated": _curated,
     "k2_connector": _connector,
     "k4_transformed": _transformed,
+    "k5_incremental": _kept_completion,
+    "k5_incremental_counterpress": _kept_counterpress,
+    "k5_incremental_growth": _kept_growth,
     "a8_diff_from_overall_mean": _mean_diff,
     "a2_sums_by_segment": _sums_by_segment,
     "t5_late_rows": _late_rows,
@@ -634,6 +661,27 @@ def _completion_sql(frame: str) -> str:
     """
 
 
+_PRESSING_SQL = f"""
+    WITH m AS ({_MATCHES}), counts AS (
+        SELECT l_orderkey AS match_id, l_suppkey AS team_name, count(*) AS n
+        FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL)
+    SELECT team_name, CAST(match_date AS VARCHAR) AS match_date, n AS counterpress_events,
+           round(avg(n) OVER (PARTITION BY team_name ORDER BY match_date, match_id
+               ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_avg_counterpress
+    FROM counts JOIN m USING (match_id)
+"""
+
+_GROWTH_SQL = f"""
+    WITH m AS ({_MATCHES}), counts AS (
+        SELECT competition_name, season_id, count(*) AS goals
+        FROM lineitem JOIN m ON l_orderkey = match_id WHERE l_returnflag = 'R' GROUP BY ALL),
+    both_seasons AS (
+        SELECT *, lag(goals) OVER (PARTITION BY competition_name ORDER BY season_id) AS prev_season_goals
+        FROM counts)
+    SELECT *, round((goals - prev_season_goals) / prev_season_goals, 6) AS yoy_growth
+    FROM both_seasons
+"""
+
 _XG_SQL = f"""
     WITH m AS ({_MATCHES}), means AS (
         SELECT p_brand AS player_name, competition_name, round(avg(l_discount), 12) AS avg_xg
@@ -726,15 +774,7 @@ _ORACLE: dict[str, str] = {
     "b3_lag": _DRIBBLE_SQL,
     "b4_linked_pairs": _assist_sql("count(*)", 9),
     "b5_percentile": _conversion_sql("DESC"),
-    "b6_rolling_count": f"""
-        WITH m AS ({_MATCHES}), counts AS (
-            SELECT l_orderkey AS match_id, l_suppkey AS team_name, count(*) AS n
-            FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL)
-        SELECT team_name, CAST(match_date AS VARCHAR) AS match_date, n AS counterpress_events,
-               round(avg(n) OVER (PARTITION BY team_name ORDER BY match_date, match_id
-                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS rolling_avg_counterpress
-        FROM counts JOIN m USING (match_id)
-    """,
+    "b6_rolling_count": _PRESSING_SQL,
     "b7_diff_from_mean": """
         WITH means AS (SELECT l_suppkey AS team_name, avg(l_quantity) AS mean FROM lineitem GROUP BY ALL)
         SELECT team_name, round(mean, 6) AS team_avg_duration,
@@ -743,16 +783,7 @@ _ORACLE: dict[str, str] = {
         FROM means
     """,
     "b8_rate_rank": _CROSS_SQL,
-    "b9_growth": f"""
-        WITH m AS ({_MATCHES}), counts AS (
-            SELECT competition_name, season_id, count(*) AS goals
-            FROM lineitem JOIN m ON l_orderkey = match_id WHERE l_returnflag = 'R' GROUP BY ALL),
-        both_seasons AS (
-            SELECT *, lag(goals) OVER (PARTITION BY competition_name ORDER BY season_id) AS prev_season_goals
-            FROM counts)
-        SELECT *, round((goals - prev_season_goals) / prev_season_goals, 6) AS yoy_growth
-        FROM both_seasons
-    """,
+    "b9_growth": _GROWTH_SQL,
     "l1_enrich": """
         SELECT event_id, user_id, event_type, value, c_custkey, c_name, c_nationkey, c_mktsegment
         FROM events LEFT JOIN customer ON user_id = c_custkey
@@ -799,6 +830,9 @@ _ORACLE: dict[str, str] = {
         WHERE l_linestatus = 'O' GROUP BY ALL
     """,
     "k1_curated": _DRIBBLE_SQL,
+    "k5_incremental": _completion_sql("ROWS BETWEEN 4 PRECEDING AND CURRENT ROW"),
+    "k5_incremental_counterpress": _PRESSING_SQL,
+    "k5_incremental_growth": _GROWTH_SQL,
     "k2_connector": _DRIBBLE_SQL,
     "k4_transformed": """
         SELECT user_id AS player_name, count(*) AS goals, max(event_id) AS last_event

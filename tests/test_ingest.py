@@ -1,14 +1,15 @@
 """The daily run over new raw files only."""
 
+import shutil
 from pathlib import Path
 
 import pytest
 from conftest import rows
-from football import competition, event, match, passed, shot
+from football import competition, dribble, event, match, named, passed, shot
 from pyspark.sql import functions as F
 
 from touchline.__main__ import main
-from touchline.plans import daily, jobs
+from touchline.plans import daily, jobs, partials
 from touchline.sinks import read_curated
 
 
@@ -80,3 +81,47 @@ def test_command_line(spark, raw):
         main(["daily", "--raw", raw, "--silver", f"{raw}/s", "--out", f"{raw}/c", "--checkpoint", f"{raw}/state",
               "--report", "goals_yoy_growth"])
     assert _events(spark, f"{raw}/s").count() == 5
+
+
+def test_reports_from_partials_equal_those_from_events(spark, raw, dump):
+    silver, state = f"{raw}/silver", f"{raw}/state"
+    dump("events/1.json", [
+        passed(cross=True), passed("Out", cross=True), passed(), shot(player="Bea", xg=0.5, position=named("Wing")),
+        shot("Saved", xg=None, position=named("Wing")), dribble(), dribble("Incomplete"),
+        event("Pressure", counterpress=True, duration=2.0), event("Carry", team="Blues", duration=1.0),
+    ])
+    daily.ingest(spark, raw, silver, state, ["events"])
+    dump("events/3.json", [passed(), shot(xg=0.25, position=named("Back")), event("Pressure", counterpress=True), event("Carry", duration=3.5)])
+    daily.ingest(spark, raw, silver, state, ["events"])
+    assert partials.missing(spark, silver) == []
+    daily.transform(spark, raw, silver, ["competitions", "matches"])
+    tables = jobs.Tables(**daily.tables_of(spark, silver, jobs.Tables._fields))
+    kept = partials.stored(spark, silver)
+    for name, report in partials.REPORTS.items():
+        expected = jobs.REPORTS[name](tables)
+        got = report(kept, tables)
+        assert got.columns == expected.columns and [f.dataType for f in got.schema] == [f.dataType for f in expected.schema], name
+        assert rows(got) == rows(expected), name
+    assert set(jobs.REPORTS) - set(partials.REPORTS) == {"assist_combinations"}
+
+
+def test_groups_in_several_batches_merge_and_a_repeated_batch_changes_nothing(spark, raw):
+    daily.transform(spark, raw, f"{raw}/whole", ["competitions", "matches", "events"])
+    tables = jobs.Tables(**daily.tables_of(spark, f"{raw}/whole", jobs.Tables._fields))
+    odd = F.xxhash64("event_id") % 2 == 0
+    for batch, some in ((0, odd), (1, ~odd), (1, ~odd), (0, odd)):
+        partials.store(tables.events.where(some), f"{raw}/parts", batch)
+    kept = partials.stored(spark, f"{raw}/parts")
+    for name, report in partials.REPORTS.items():
+        assert rows(report(kept, tables)) == rows(jobs.REPORTS[name](tables)), name
+
+
+def test_batches_from_before_partials_are_folded(spark, raw, dump):
+    silver, state = f"{raw}/silver", f"{raw}/state"
+    daily.ingest(spark, raw, silver, state, ["events"])
+    shutil.rmtree(f"{silver}/partials")
+    dump("events/3.json", [shot(player="Cat")])
+    assert partials.missing(spark, silver) == [0]
+    daily.ingest(spark, raw, silver, state, ["events"])
+    assert partials.missing(spark, silver) == []
+    assert rows(partials.top_scorers(partials.stored(spark, silver)), "player_name", "goals") == [("Ann", 1), ("Bea", 1), ("Cat", 1)]

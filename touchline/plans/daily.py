@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from touchline import functions as flat, schemas
+from touchline.plans import partials
 from touchline.plans.jobs import REPORTS, Tables
 from touchline.sinks import read_transformed, write_curated, write_transformed
 from touchline.sources import LAYOUT, read_competitions, read_events, read_lineups, read_matches
@@ -107,7 +108,7 @@ def ingest(
     this is for ``ONCE_PER_MATCH``. Each batch of files owns ``silver/<name>/batch_id=<n>`` and
     ``silver/rejects/<name>/batch_id=<n>`` and overwrites them, so a batch that Spark repeats after a failure changes nothing.
     Too many rejects among the new records fail the run when all are stored; the next run goes on behind them.
-    A silver table belongs to either ``ingest`` or ``transform``.
+    A silver table belongs to either ``ingest`` or ``transform``. Batches of events that have no ``partials`` yet are folded.
     """
     counts = {}
     for name in names:
@@ -131,6 +132,10 @@ def ingest(
 
         stream = found.writeStream.foreachBatch(write).option("checkpointLocation", f"{checkpoint}/{name}")
         stream.trigger(availableNow=True).start().awaitTermination()
+        if name == "events":
+            for number in partials.missing(spark, silver):
+                batch = read_transformed(spark, silver, f"events/batch_id={number}", flat_schema(spark, "events"))
+                partials.store(batch, silver, number)
         if seen["rejects"] > max_rejects * seen["rows"]:
             raise TooManyRejects(f"{seen['rejects']} of {seen['rows']} new records of {name}; see {silver}/rejects/{name}")
     return counts
@@ -155,7 +160,8 @@ def run_all(
     """The whole daily run. ``curated`` and ``sink`` go to ``write_curated``; the counts are ``transform``'s.
 
     Lineups are written flat too, where there are any, and the teams of all matches. With a ``checkpoint`` the files of
-    ``ONCE_PER_MATCH`` go through ``ingest``, so only new ones are read; their counts are of these.
+    ``ONCE_PER_MATCH`` go through ``ingest``, so only new ones are read; their counts are of these. Reports then come from
+    the kept partials where these answer them.
     """
     found = [name for name in _ZONES if name != "lineups" or exists(spark, f"{raw}/{LAYOUT[name]}")]
     new = [name for name in found if checkpoint is not None and name in ONCE_PER_MATCH]
@@ -163,7 +169,10 @@ def run_all(
     if new:
         counts |= ingest(spark, raw, silver, checkpoint, new, multiline, mode, max_rejects)
     flat_tables = Tables(**tables_of(spark, silver, Tables._fields))
+    kept = partials.stored(spark, silver) if new else None
     for name in names:
-        write_curated(REPORTS[name](flat_tables), name, curated, **sink)
+        merged = kept is not None and name in partials.REPORTS
+        result = partials.REPORTS[name](kept, flat_tables) if merged else REPORTS[name](flat_tables)
+        write_curated(result, name, curated, **sink)
     teams(flat_tables.matches, flat_tables.competitions).write.mode("overwrite").parquet(f"{silver}/teams")
     return counts
