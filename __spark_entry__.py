@@ -20,7 +20,8 @@ from touchline.sinks import (
     read_curated, read_transformed, start_append, write_curated, write_transformed,
 )
 from touchline.sources import (
-    read_competitions, read_events, read_lineups, read_matches, read_stream, read_teams, register_views, star,
+    read_competitions, read_events, read_lineups, read_matches, read_stream, read_teams, register_views,
+    replay, star,
 )
 from touchline.streaming import attach_player, enrich, high_scoring, run_all, team_form, tumbling_avg
 
@@ -130,17 +131,17 @@ def _enrich(spark, d):
 
 
 def _tumbling(spark, d):
-    out = tumbling_avg(star.live(_utc(spark), d), "user_id", "value", "avg_value")
+    out = tumbling_avg(star.live(_utc(spark), d, timed=True), "user_id", "value", "avg_value")
     return _windows(_drain(spark, out, "l2_tumbling"), "avg_value")
 
 
 def _alerts(spark, d):
-    out = high_scoring(star.live(_utc(spark), d), "user_id", "value", "k", threshold=60)
+    out = high_scoring(star.live(_utc(spark), d, timed=True), "user_id", "value", "k", threshold=60)
     return _windows(_drain(spark, out, "l3_alerts"), "total_goals")
 
 
 def _form(spark, d):
-    out = team_form(star.live(_utc(spark), d), "user_id", "value", "k")
+    out = team_form(star.live(_utc(spark), d, timed=True), "user_id", "value", "k")
     return _windows(_drain(spark, out, "l4_form"), "goals_scored")
 
 
@@ -368,7 +369,7 @@ def _payloads(spark, d) -> DataFrame:
     """Web events as the JSON text of scores, a value of its own in every field."""
     k = F.get_json_object("props", "$.k").try_cast("int")
     user = F.col("user_id").cast("string")
-    return star.table(_utc(spark), d, "events").select("event_id", F.to_json(F.struct(
+    return star.table(_utc(spark), d, "events").select("event_id", "ts", F.to_json(F.struct(
         user.alias("match_id"), F.concat(F.lit("home"), user).alias("home_team"),
         F.concat(F.lit("away"), user).alias("away_team"), k.alias("home_score"), (k % 7).alias("away_score"),
         F.minute("ts").alias("minute"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
@@ -383,10 +384,11 @@ def _parse_scores(spark, d):
 
 
 def _live_job(spark, d):
-    """The three collections of the live job over score payloads, side by side."""
+    """The three collections of the live job over score payloads, side by side; these come in the order of time."""
     root = scratch(spark, "live-job")
-    _payloads(spark, d).select("value").write.text(f"{root}/feed")
-    run_all(read_stream(spark, "text", f"{root}/feed"), f"{root}/state", root=f"{root}/out", available_now=True)
+    replay(_payloads(spark, d), "ts", f"{root}/feed", "text")
+    feed = read_stream(spark, "text", f"{root}/feed", maxFilesPerTrigger="1")
+    run_all(feed, f"{root}/state", root=f"{root}/out", available_now=True)
     columns = {
         "avg_goals_per_10min": ("home_team", "avg_home_goals", F.lit(None)),
         "high_scoring_alerts": ("match_id", "total_goals", F.lit(None)),

@@ -1,11 +1,13 @@
 """Every registered query against its SQL, on the smallest of the given tables."""
 
+from functools import partial
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from touchline.sources import replay, star
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the given tables are not here")
@@ -31,6 +33,12 @@ def test_query_over_many_chunks_equals_sql(spark, many_chunks, db, name):
     assert difference(contract.queries()[name](spark, FOLDER), db, contract.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", ["l2_tumbling", "l3_alerts", "l4_form", "t7_live_job"])
+def test_windows_over_many_micro_batches_equal_sql(spark, monkeypatch, db, name):
+    monkeypatch.setattr(star if name[0] == "l" else contract, "replay", partial(replay, each=200))
+    assert difference(contract.queries()[name](spark, FOLDER), db, contract.oracle_sql()[name]) is None
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 10
 

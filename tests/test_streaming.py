@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline import functions as flat, schemas
 from touchline.sinks import start_append
-from touchline.sources import read_stream
+from touchline.sources import read_stream, replay
 from touchline.streaming import (
     attach_player, await_all, enrich, high_scoring, one_per_key, run_all, team_form, tumbling_avg,
 )
@@ -197,3 +197,22 @@ def test_stream_to_a_connector(spark, feed, tmp_path):
         feed.scores(), "live", str(tmp_path / "state"), fmt="json", available_now=True, path=str(tmp_path / "docs")
     ).awaitTermination()
     assert spark.read.schema(schemas.SCORES).json(str(tmp_path / "docs")).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["text", "parquet"])
+def test_replayed_rows_leave_few_windows_open(spark, tmp_path, fmt):
+    """Rows lie in no order; their files come in the order of time, so none is late and closed windows leave the state."""
+    start = F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") * 7919) % 4000 * 60)
+    scores = spark.range(0, 4000, 1, 4).select(
+        start.alias("timestamp"), (F.col("id") % 40).cast("string").alias("home_team"), (F.col("id") % 5).cast("int").alias("home_score"),
+    ).withColumn("value", F.to_json(F.struct("home_team", "home_score", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"))))
+    replay(scores, "timestamp", str(tmp_path / "feed"), fmt, each=400)
+    stream = read_stream(spark, fmt, str(tmp_path / "feed"), None if fmt == "text" else scores.schema, maxFilesPerTrigger="1")
+    out = tumbling_avg(flat.parse_scores(stream) if fmt == "text" else stream)
+    query = start_append(out, "out", str(tmp_path / "state"), str(tmp_path / "sink"), available_now=True)
+    query.awaitTermination()
+    last = scores.agg(F.max("timestamp")).first()[0]
+    closed = tumbling_avg(scores).where(F.col("window.end") <= F.lit(last) - F.expr("INTERVAL 1 MINUTE"))
+    found = rows(spark.read.schema(out.schema).parquet(f"{tmp_path}/sink/out"), *closed.columns)
+    assert found == rows(closed) and len(found) > 3900
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) < 1300

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.sources.stream import read_stream
+from touchline.session import scratch
+from touchline.sources.stream import read_stream, replay
 
 # The tables' columns. Stating them saves a job per read, which would look them up.
 COLUMNS = {
@@ -126,9 +127,17 @@ def click_days(spark: SparkSession, folder: str) -> DataFrame:
     return clicks(spark, folder, "click").select("match_id", "match_date").distinct()
 
 
-def live(spark: SparkSession, folder: str) -> DataFrame:
-    """Web events as a stream of scores: ``value`` at home, ``k`` away."""
-    stream = read_stream(spark, "parquet", folder, COLUMNS["events"], pathGlobFilter="events.parquet")
+def live(spark: SparkSession, folder: str, timed: bool = False) -> DataFrame:
+    """Web events as a stream of scores: ``value`` at home, ``k`` away.
+
+    ``timed`` lets them come in the order of time, a part in each micro-batch, as windows with state want it.
+    """
+    if timed:
+        path = scratch(spark, "live")
+        replay(table(spark, folder, "events"), "ts", path)
+        stream = read_stream(spark, "parquet", path, COLUMNS["events"], maxFilesPerTrigger="1")
+    else:
+        stream = read_stream(spark, "parquet", folder, COLUMNS["events"], pathGlobFilter="events.parquet")
     return stream.withColumns({
         "timestamp": F.col("ts").cast("timestamp"),
         "k": F.get_json_object("props", "$.k").try_cast("int"),
