@@ -2,11 +2,12 @@
 
 Each stage is ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and returns a DataFrame,
 which ``run`` writes as Parquet and reads again as the next one's ``docs``. All but the last return the
-columns of ``docs`` as they are, whatever their names.
+columns of ``docs`` as they are, whatever their names. The ids leave in the order of the mixture.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from touchline.llm import language, mixing, near_texts, pieces, quality
@@ -83,9 +84,28 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _back(found.orderBy("tick", names["doc_id"]), names)
 
 
+def _as_written(docs: DataFrame) -> DataFrame:
+    """Rows read from Parquet in the order in which they were written; a reader takes large files first.
+
+    Files are numbered by the partition that wrote them. Rows not read from files come in an order of their own
+    and keep it; the joins of the mixture hide the files that its documents came from.
+    """
+    places = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    try:
+        docs.select(*places)
+    except AnalysisException:
+        return docs
+    return docs.orderBy(*places)
+
+
 def as_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of each document: ``doc_id``, ``source``, ``lang``, ``n_ids``, ``ids``, ``round_trip``."""
-    picked = docs.select("doc_id", "source", "lang", "text")
+    """SentencePiece ids of each document: ``doc_id``, ``source``, ``lang``, ``n_ids``, ``ids``, ``round_trip``, ``position``.
+
+    They come in the order in which the mixture wrote the documents, from partition to partition. ``position`` rises
+    with it, with gaps where a partition ends.
+    """
+    place = F.monotonically_increasing_id().alias("position")
+    picked = _as_written(docs).select("doc_id", "source", "lang", "text", place)
     return pieces.with_ids(picked, pieces.load(MODEL)).drop("text")
 
 
@@ -106,4 +126,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = pin(stage(spark, docs, sf_dir))
-    return docs
+    return docs.orderBy("position").drop("position")

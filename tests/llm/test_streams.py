@@ -291,6 +291,21 @@ def test_mixture_stage_keeps_all_documents_in_the_order_of_the_schedule(spark):
     assert order == sorted(order)
 
 
+def test_ids_come_in_the_order_of_the_mixture(spark, tmp_path):
+    """A reader takes the largest file first, here the last; the order holds whether or not files lie between the stages."""
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.substring(F.lit("abc"), (F.col("id") % 7 % 3).cast("int") + 1, 1).alias("source"))
+    order = [r.doc_id for r in mixing.mix(docs).orderBy("tick", "doc_id").collect()]
+    texts = spark.createDataFrame([(i, f"w{i} " * n) for n, i in enumerate(order)], "doc_id long, text string")
+    docs.join(texts, "doc_id").withColumn("lang", F.lit("en")).write.parquet(f"{tmp_path}/docs")
+    mixed = corpus_pipeline.mixed(spark, spark.read.parquet(f"{tmp_path}/docs"), FOLDER)
+    mixed.write.option("maxRecordsPerFile", 100).parquet(f"{tmp_path}/mixed")
+    written = spark.read.parquet(f"{tmp_path}/mixed")
+    assert [r.doc_id for r in written.collect()] != order
+    for given in (mixed, written):
+        found = corpus_pipeline.as_ids(spark, given, FOLDER).select("doc_id", "position").collect()
+        assert [r.doc_id for r in found] == order == [r.doc_id for r in sorted(found, key=lambda r: r.position)]
+
+
 def test_pipeline_without_documents_or_labels(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
